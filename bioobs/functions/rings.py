@@ -16,18 +16,29 @@ def point(x, y) -> Column:
     return F.struct(x.alias("x"), y.alias("y"))
 
 
+def _once(value: Column, use) -> Column:
+    """Apply ``use`` to a value that should be computed a single time."""
+    return F.transform(F.array(value), use)[0]
+
+
 def closed(ring: Column) -> Column:
     """The ring with its first vertex repeated at the end."""
-    first, last = F.element_at(ring, 1), F.element_at(ring, -1)
-    return F.when(first == last, ring).otherwise(F.concat(ring, F.slice(ring, 1, 1)))
+
+    def close(r):
+        same = F.element_at(r, 1) == F.element_at(r, -1)
+        return F.when(same, r).otherwise(F.concat(r, F.slice(r, 1, 1)))
+
+    return _once(ring, close)
 
 
 def ring_edges(ring: Column) -> Column:
     """Array of ``{a, b}`` vertex pairs."""
-    loop = closed(ring)
-    return F.arrays_zip(
-        F.slice(loop, 1, F.size(loop) - 1).alias("a"), F.slice(loop, 2, F.size(loop) - 1).alias("b")
-    )
+
+    def pairs(loop):
+        n = F.size(loop) - 1
+        return F.arrays_zip(F.slice(loop, 1, n).alias("a"), F.slice(loop, 2, n).alias("b"))
+
+    return _once(closed(ring), pairs)
 
 
 def ring_moments(ring: Column) -> Column:
@@ -36,32 +47,41 @@ def ring_moments(ring: Column) -> Column:
     Sums are taken relative to the first vertex, which keeps the digits that
     large coordinates would cancel.
     """
-    o = F.element_at(ring, 1)
-
-    def add(acc, e):
-        ax, ay = e["a"]["x"] - o["x"], e["a"]["y"] - o["y"]
-        bx, by = e["b"]["x"] - o["x"], e["b"]["y"] - o["y"]
-        cross = ax * by - bx * ay
-        return F.struct(
-            (acc["area"] + cross).alias("area"),
-            (acc["mx"] + (ax + bx) * cross).alias("mx"),
-            (acc["my"] + (ay + by) * cross).alias("my"),
-        )
 
-    zero = F.struct(F.lit(0.0).alias("area"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-    rel = F.aggregate(ring_edges(ring), zero, add)
-    return F.struct(
-        rel["area"].alias("area"),
-        (rel["mx"] + 3 * o["x"] * rel["area"]).alias("mx"),
-        (rel["my"] + 3 * o["y"] * rel["area"]).alias("my"),
-    )
+    def measure(r):
+        o = F.element_at(r, 1)
+
+        def add(acc, e):
+            ax, ay = e["a"]["x"] - o["x"], e["a"]["y"] - o["y"]
+            bx, by = e["b"]["x"] - o["x"], e["b"]["y"] - o["y"]
+            cross = ax * by - bx * ay
+            return F.struct(
+                (acc["area"] + cross).alias("area"),
+                (acc["mx"] + (ax + bx) * cross).alias("mx"),
+                (acc["my"] + (ay + by) * cross).alias("my"),
+            )
+
+        def shifted_back(rel):
+            return F.struct(
+                rel["area"].alias("area"),
+                (rel["mx"] + 3 * o["x"] * rel["area"]).alias("mx"),
+                (rel["my"] + 3 * o["y"] * rel["area"]).alias("my"),
+            )
+
+        zero = F.struct(*[F.lit(0.0).alias(n) for n in ("area", "mx", "my")])
+        return F.aggregate(ring_edges(r), zero, add, shifted_back)
+
+    return _once(ring, measure)
 
 
 def oriented(ring: Column, hole: bool) -> Column:
     """Closed ring, counter-clockwise, or clockwise for a hole."""
-    loop = closed(ring)
-    turn = ring_moments(ring)["area"]
-    return F.when((turn > 0) if hole else (turn < 0), F.reverse(loop)).otherwise(loop)
+
+    def turn(loop):
+        area = ring_moments(loop)["area"]
+        return F.when((area > 0) if hole else (area < 0), F.reverse(loop)).otherwise(loop)
+
+    return _once(closed(ring), turn)
 
 
 def _sum_over_rings(rings: Column, field: str) -> Column:
@@ -137,3 +157,10 @@ def crosses_right(px, py, x1, y1, x2, y2) -> Column:
     """The ray from the point towards +x crosses the segment (half-open in y)."""
     spans = (y1 > py) != (y2 > py)
     return spans & (px < x1 + (py - y1) * (x2 - x1) / F.nullif(y2 - y1, F.lit(0.0)))
+
+
+def inside_edges(px: Column, py: Column, sides: Column) -> Column:
+    """Even-odd test against an array of ``{x1, y1, x2, y2}``, the edge included."""
+    parts = lambda test: lambda e: test(px, py, e["x1"], e["y1"], e["x2"], e["y2"])
+    odd = F.size(F.filter(sides, parts(crosses_right))) % 2 == 1
+    return odd | F.exists(sides, parts(on_segment))

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from bioobs.functions.rings import crosses_right, on_segment
+from bioobs.functions.rings import inside_edges
 from bioobs.operators.shape import named
 
 
@@ -60,7 +60,11 @@ class In(Predicate):
 
 @dataclass(frozen=True)
 class Within(Predicate):
-    """Inside a polygon given as WKT, its boundary included."""
+    """Inside a polygon given as WKT, its boundary included.
+
+    Meant for outlines of modest size, such as a convex hull; a detailed
+    boundary belongs in a table and in ``points_in_polygons``.
+    """
 
     wkt: str
 
@@ -76,10 +80,10 @@ class Within(Predicate):
         sides = []
         for ring in self.rings():
             loop = ring if ring[0] == ring[-1] else ring + ring[:1]
-            sides += [tuple(map(F.lit, (*a, *b))) for a, b in zip(loop, loop[1:])]
-        hits = reduce(lambda p, q: p + q, [crosses_right(x, y, *s).cast("int") for s in sides])
-        touching = reduce(lambda p, q: p | q, [on_segment(x, y, *s) for s in sides])
-        return box & ((hits % 2 == 1) | touching)
+            for (x1, y1), (x2, y2) in zip(loop, loop[1:]):
+                ends = {"x1": x1, "y1": y1, "x2": x2, "y2": y2}
+                sides.append(F.struct(*[F.lit(v).alias(k) for k, v in ends.items()]))
+        return box & inside_edges(x, y, F.array(*sides))
 
     def rows(self):
         return [("within", None, None, self.wkt)]

@@ -55,6 +55,11 @@ class Grid:
     def row(self, y: Column) -> Column:
         return F.floor((y - self.y_min) / self.height)
 
+    def holds(self, x: Column, y: Column, row: str, cell: str) -> Column:
+        """The point lies in this cell; NaN lies nowhere."""
+        number = lambda v: F.nanvl(v, F.lit(None).cast("double"))
+        return (self.row(number(y)) == F.col(row)) & (self.cell(number(x)) == F.col(cell))
+
     def covers(self, x: Column, y: Column) -> Column:
         return x.between(self.x_min, self.x_max) & y.between(self.y_min, self.y_max)
 
@@ -73,34 +78,46 @@ def edges(polygons: DataFrame, polygon_id: str = "polygon_id") -> DataFrame:
 
 
 def fit_grid(sides: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Grid | None:
-    """Choose the grid from two one-row aggregates over the polygon sides."""
-    box = sides.agg(
-        F.min(F.least("x1", "x2")).alias("x0"),
-        F.min(F.least("y1", "y2")).alias("y0"),
-        F.max(F.greatest("x1", "x2")).alias("x1"),
-        F.max(F.greatest("y1", "y2")).alias("y1"),
-        F.count("*").alias("n"),
-    ).first()
-    if not box.n:
-        return None
-    grid = Grid(box.x0, box.y0, box.x1, box.y1, max(8, min(MAX_SIDE, int(2 * box.n**0.5))))
-    spans = sides.select(
-        "pid",
-        grid.cell(F.least("x1", "x2")).alias("c0"),
-        grid.cell(F.greatest("x1", "x2")).alias("c1"),
-        grid.row(F.least("y1", "y2")).alias("r0"),
-        grid.row(F.greatest("y1", "y2")).alias("r1"),
-    )
-    wide, tall = F.col("c1") - F.col("c0") + 1, F.col("r1") - F.col("r0") + 1
-    per_polygon = spans.groupBy("pid").agg(
-        ((F.max("c1") - F.min("c0") + 1) * (F.max("r1") - F.min("r0") + 1)).alias("cells"),
-        # a side clipped to each of its rows, with the slack of ``cell_tests``
-        F.sum(F.least(wide * tall, wide + 3 * tall)).alias("entries"),
+    """Choose the grid from one one-row aggregate over the polygon sides."""
+    wide, tall = F.col("right") - F.col("left"), F.col("top") - F.col("low")
+    total = (
+        sides.groupBy("pid")
+        .agg(
+            F.min(F.least("x1", "x2")).alias("left"),
+            F.min(F.least("y1", "y2")).alias("low"),
+            F.max(F.greatest("x1", "x2")).alias("right"),
+            F.max(F.greatest("y1", "y2")).alias("top"),
+            F.sum(F.abs(F.col("x1") - F.col("x2"))).alias("dx"),
+            F.sum(F.abs(F.col("y1") - F.col("y2"))).alias("dy"),
+            F.count("*").alias("n"),
+        )
+        .agg(
+            F.min("left").alias("left"),
+            F.min("low").alias("low"),
+            F.max("right").alias("right"),
+            F.max("top").alias("top"),
+            F.sum(wide).alias("wide"),
+            F.sum(tall).alias("tall"),
+            F.sum(wide * tall).alias("area"),
+            F.sum("dx").alias("dx"),
+            F.sum("dy").alias("dy"),
+            F.sum("n").alias("n"),
+            F.count("*").alias("polygons"),
+        )
+        .first()
     )
-    bound = per_polygon.agg(F.sum(F.col("cells") * 64 + F.col("entries") * 48).alias("b")).first().b
-    if bound <= broadcast_bytes:
+    if not total.n:
+        return None
+    corner = (total.left, total.low, total.right, total.top)
+    side = int(4 * total.n**0.5)
+    grid = Grid(*corner, max(16, min(MAX_SIDE, side)))
+    w, h = grid.width, grid.height
+    # upper bounds: a polygon's box in cells, and a side's cells with the slack of ``cell_tests``
+    cells = total.area / (w * h) + 2 * (total.wide / w + total.tall / h) + 4 * total.polygons
+    entries = total.dx / w + 3 * total.dy / h + 8 * total.n
+    if cells * 64 + entries * 48 <= broadcast_bytes:
         return grid
-    return Grid(box.x0, box.y0, box.x1, box.y1, max(8, int(2 * box.n**0.5)), small=False)
+    return Grid(*corner, max(16, side), small=False)
 
 
 def cell_tests(sides: DataFrame, grid: Grid) -> DataFrame:
@@ -170,20 +187,39 @@ def cell_table(tests: DataFrame) -> DataFrame:
 
 def _inside(x: Column, y: Column) -> Column:
     near, starts = F.col("__near"), F.col("__starts")
-    sides = lambda test: F.filter(
-        near, lambda e: test(x, y, e["x1"], e["y1"], e["x2"], e["y2"])
-    )
-    flips = F.size(sides(crosses_right)) + F.size(F.filter(starts, lambda s: s > y))
+    parts = lambda test: lambda e: test(x, y, e["x1"], e["y1"], e["x2"], e["y2"])
     simple = (F.size(near) == 0) & (F.size(starts) == 0)
+    flips = F.size(F.filter(near, parts(crosses_right))) + F.size(F.filter(starts, lambda s: s > y))
     odd = (flips + F.col("__above").cast("int")) % 2 == 1
-    touching = F.exists(near, lambda e: on_segment(x, y, e["x1"], e["y1"], e["x2"], e["y2"]))
-    return F.when(simple, F.col("__above")).otherwise(odd | touching)
+    return F.when(simple, F.col("__above")).otherwise(odd | F.exists(near, parts(on_segment)))
 
 
 def _marked(cells: DataFrame) -> DataFrame:
     return cells.select([F.col(c).alias(f"__{c}") for c in cells.columns])
 
 
+def _join_cells(points, polygons, x, y, polygon_id, broadcast_bytes, grid, how):
+    """Points joined to the cells that hold them, or None without polygons."""
+    sides = edges(polygons, polygon_id)
+    px, py = named(x), named(y)
+    if grid is None:
+        grid = fit_grid(sides, broadcast_bytes)
+        if grid is None:
+            return None
+        # pushed down to the reader where x and y are stored columns
+        points = points.where(grid.covers(px, py))
+    tests = cell_tests(sides, grid)
+    if grid.small:
+        cells = _marked(cell_table(tests))
+        here = grid.holds(px, py, "__row", "__cell")
+        return points.join(F.broadcast(cells), here & _inside(px, py), how)
+    spots = _spots_inside(points.select(px.alias("__x"), py.alias("__y")), tests, grid)
+    if how == "left_semi":
+        spots = spots.select("__x", "__y").distinct()
+    # equal spots were tested once; adaptive execution splits a crowded one here
+    return points.join(spots, (px == F.col("__x")) & (py == F.col("__y")), how)
+
+
 def points_in_polygons(
     points: DataFrame,
     polygons: DataFrame,
@@ -191,26 +227,15 @@ def points_in_polygons(
     y: str = "y",
     polygon_id: str = "polygon_id",
     broadcast_bytes: int = BROADCAST_BYTES,
+    grid: Grid | None = None,
 ) -> DataFrame:
     """Points inside any polygon, boundary included, each once.
 
-    Points and polygons must be in the same coordinate system.
+    Points and polygons must be in the same coordinate system. A caller that has
+    fitted the grid already passes it, and filters the points by its own means.
     """
-    sides = edges(polygons, polygon_id)
-    grid = fit_grid(sides, broadcast_bytes)
-    if grid is None:
-        return points.where(F.lit(False))
-    px, py = named(x), named(y)
-    close = points.where(grid.covers(px, py))
-    tests = cell_tests(sides, grid)
-    if grid.small:
-        cells = _marked(cell_table(tests))
-        here = (grid.row(py) == F.col("__row")) & (grid.cell(px) == F.col("__cell"))
-        return close.join(F.broadcast(cells), here & _inside(px, py), "left_semi")
-    spots = _spots_inside(close.select(px.alias("px"), py.alias("py")), tests, grid)
-    # equal spots were tested once; adaptive execution splits a crowded one here
-    spots = spots.select("px", "py").distinct()
-    return close.join(spots, (px == F.col("px")) & (py == F.col("py")), "left_semi")
+    found = _join_cells(points, polygons, x, y, polygon_id, broadcast_bytes, grid, "left_semi")
+    return points.where(F.lit(False)) if found is None else found
 
 
 def tag_points(
@@ -220,63 +245,50 @@ def tag_points(
     y: str = "y",
     polygon_id: str = "polygon_id",
     broadcast_bytes: int = BROADCAST_BYTES,
+    grid: Grid | None = None,
 ) -> DataFrame:
     """Points with the id of each polygon that holds them."""
-    sides = edges(polygons, polygon_id)
-    grid = fit_grid(sides, broadcast_bytes)
     kind = polygons.schema[polygon_id].dataType
-    if grid is None:
+    found = _join_cells(points, polygons, x, y, polygon_id, broadcast_bytes, grid, "inner")
+    if found is None:
         return points.where(F.lit(False)).withColumn(polygon_id, F.lit(None).cast(kind))
-    px, py = named(x), named(y)
-    close = points.where(grid.covers(px, py))
-    tests = cell_tests(sides, grid)
-    if grid.small:
-        cells = _marked(cell_table(tests))
-        here = (grid.row(py) == F.col("__row")) & (grid.cell(px) == F.col("__cell"))
-        joined = close.join(F.broadcast(cells), here & _inside(px, py))
-        return joined.select(*[named(c) for c in points.columns], F.col("__pid").alias(polygon_id))
-    spots = _spots_inside(close.select(px.alias("px"), py.alias("py")), tests, grid)
-    joined = close.join(spots, (px == F.col("px")) & (py == F.col("py")))
-    return joined.select(*[named(c) for c in points.columns], F.col("pid").alias(polygon_id))
+    return found.select(*[named(c) for c in points.columns], F.col("__pid").alias(polygon_id))
 
 
 def _spots_inside(spots: DataFrame, tests: DataFrame, grid: Grid, salts: int = 16) -> DataFrame:
-    """``px, py, pid`` for a boundary too large to copy to every executor.
+    """``__x, __y, __pid`` for a boundary too large to copy to every executor.
 
     Distinct positions meet the single tests of their cell. Positions of a busy
     cell are dealt over ``salts`` tasks, which each get the cell's tests. The
     verdict is a count, summed before the shuffle.
     """
-    px, py = F.col("px"), F.col("py")
-    place = spots.distinct().withColumns(
-        {
-            "row": grid.row(py),
-            "cell": grid.cell(px),
-            "salt": F.pmod(F.xxhash64("px", "py"), F.lit(salts)).cast("int"),
-        }
+    px, py = F.col("__x"), F.col("__y")
+    salt = F.pmod(F.xxhash64(px, py), F.lit(salts)).cast("int")
+    place = spots.distinct().withColumn("salt", salt)
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    met = place.alias("p").join(
+        tests.withColumn("salt", copies).alias("t"),
+        grid.holds(px, py, "row", "cell") & (F.col("p.salt") == F.col("t.salt")),
     )
-    copies = F.explode(F.array(*[F.lit(i) for i in range(salts)]))
     side = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
-    met = place.join(tests.withColumn("salt", copies), ["row", "cell", "salt"])
     flip = (
         F.when(F.col("kind") == "edge", crosses_right(px, py, *side))
         .when(F.col("kind") == "start", F.col("y1") > py)
         .otherwise(F.lit(True))
     )
     touching = (F.col("kind") == "edge") & on_segment(px, py, *side)
-    verdict = met.groupBy("px", "py", "pid").agg(
+    verdict = met.groupBy(px, py, F.col("pid").alias("__pid")).agg(
         F.sum(F.coalesce(flip, F.lit(False)).cast("int")).alias("flips"),
         F.max(F.coalesce(touching, F.lit(False))).alias("touching"),
     )
-    return verdict.where("flips % 2 = 1 or touching").select("px", "py", "pid")
+    return verdict.where("flips % 2 = 1 or touching").select("__x", "__y", "__pid")
 
 
-def degrees_box(polygons: DataFrame, srid: int) -> tuple[float, float, float, float]:
-    """Degrees that surely contain all polygons, for a filter on raw coordinates."""
-    sides = edges(polygons)
-    box = sides.agg(F.min("x1"), F.min("y1"), F.max("x1"), F.max("y1")).first()
-    if box[0] is None or srid == 4326:
-        return tuple(box)
+def degrees_box(grid: Grid, srid: int) -> tuple[float, float, float, float]:
+    """Degrees that surely contain the grid, for a filter on raw coordinates."""
+    box = (grid.x_min, grid.y_min, grid.x_max, grid.y_max)
+    if srid == 4326:
+        return box
     projection = PROJECTIONS[srid]
     if not hasattr(projection, "lon_lat_envelope"):
         return -180.0, -90.0, 180.0, 90.0

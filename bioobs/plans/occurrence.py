@@ -12,6 +12,7 @@ from bioobs.operators.spatial import (
     convex_hull,
     degrees_box,
     edges,
+    fit_grid,
     hull_ring,
     points_in_polygons,
 )
@@ -48,14 +49,14 @@ def clip_to_boundary(
     filters the raw coordinates first, which the parquet reader can use; the
     exact test then runs in the boundary's own system.
     """
-    box = degrees_box(boundary, srid)
-    if box[0] is None:
-        near = occurrence.where(F.lit(False))
-    else:
-        x0, y0, x1, y1 = box
-        near = occurrence.where(F.col(lon).between(x0, x1) & F.col(lat).between(y0, y1))
+    grid = fit_grid(edges(boundary), broadcast_bytes)
+    if grid is None:
+        empty = projected_points(with_known_ranks(occurrence, ranks), srid, lon, lat)
+        return empty.where(F.lit(False))
+    x0, y0, x1, y1 = degrees_box(grid, srid)
+    near = occurrence.where(F.col(lon).between(x0, x1) & F.col(lat).between(y0, y1))
     points = projected_points(with_known_ranks(near, ranks), srid, lon, lat)
-    return points_in_polygons(points, boundary, broadcast_bytes=broadcast_bytes)
+    return points_in_polygons(points, boundary, grid=grid)
 
 
 def write_clipped(clipped: DataFrame, path: str, by=PARTITION_RANKS) -> None:
