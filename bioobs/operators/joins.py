@@ -73,31 +73,28 @@ def expect_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.select(checked.alias("__r")).select("__r.*")
 
 
-def one_row(df: DataFrame) -> DataFrame:
-    """The only row of a table; the query fails if it has none or several."""
-    packed = df.agg(
-        F.count("*").alias("__n"), F.first(F.struct(*[named(c) for c in df.columns])).alias("__r")
+def recycle(df: DataFrame, single: DataFrame) -> DataFrame:
+    """Attach a one-row table to every row.
+
+    The row is a scalar subquery: computed once, no join. The query fails if the
+    table has no row or several.
+    """
+    packed = single.agg(
+        F.count("*").alias("__n"), F.first(F.struct(*[named(c) for c in single.columns])).alias("__r")
     )
-    checked = F.when(F.col("__n") == 1, F.col("__r")).otherwise(
+    only = F.when(F.col("__n") == 1, F.col("__r")).otherwise(
         F.raise_error(F.lit("expected exactly one row"))
     )
-    return packed.select(checked.alias("__r")).select("__r.*")
-
-
-def recycle(df: DataFrame, single: DataFrame) -> DataFrame:
-    """Attach a one-row table to every row. ``one_row`` proves the broadcast size."""
-    return df.crossJoin(F.broadcast(one_row(single)))
+    return df.withColumn("__r", packed.select(only.alias("__r")).scalar()).select(
+        *[named(c) for c in df.columns], "__r.*"
+    )
 
 
 def impute_max(df: DataFrame, column: str) -> DataFrame:
     """Replace missing values by the largest value of the column.
 
-    The maximum is a one-row aggregate joined back, not a window over the whole
-    table, so rows stay where they are.
+    The maximum is a scalar subquery, not a window over the whole table, so rows
+    stay where they are.
     """
-    top = df.agg(F.max(named(column)).alias("__top"))
-    return (
-        df.crossJoin(F.broadcast(top))
-        .withColumn(column, F.coalesce(named(column), F.col("__top")))
-        .drop("__top")
-    )
+    top = df.agg(F.max(named(column))).scalar()
+    return df.withColumn(column, F.coalesce(named(column), top))

@@ -6,7 +6,6 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
-from bioobs.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS
 from bioobs.operators.shape import named
 
 # Up to this many words become one pattern; longer lists are joined.
@@ -32,23 +31,18 @@ def match_any(df: DataFrame, text: str, words: DataFrame, word: str, key: str) -
 
 
 def match_any_joined(df: DataFrame, text: str, words: DataFrame, word: str, key: str) -> DataFrame:
-    wanted = words.select(named(word).alias("__w")).where("length(__w) > 0").distinct()
-    # one row: how many words, how many bytes, and which lengths occur
-    seen = wanted.agg(
-        F.count("*").alias("n"),
-        F.sum(F.octet_length("__w")).alias("bytes"),
-        F.sort_array(F.collect_set(F.length("__w"))).alias("lengths"),
-    ).first()
-    small = seen.n <= BROADCAST_ROWS and (seen.bytes or 0) <= BROADCAST_BYTES
+    wanted = words.select(named(word).alias("__w")).where("length(__w) > 0")
+    # the few word lengths that occur, not the words
+    found = wanted.agg(F.sort_array(F.collect_set(F.length("__w")))).first()[0]
 
     def of_length(size):
         starts = F.sequence(F.lit(1), F.length("__text") - size + 1)
         return F.transform(starts, lambda i: F.substring(F.col("__text"), i, size))
 
-    lengths = F.array(*[F.lit(n) for n in seen.lengths]).cast("array<int>")
+    lengths = F.array(*[F.lit(n) for n in found]).cast("array<int>")
     fitting = F.filter(lengths, lambda n: n <= F.length("__text"))
     pieces = df.select(named(key).alias("__key"), named(text).alias("__text")).select(
         "__key", F.explode(F.array_distinct(F.flatten(F.transform(fitting, of_length)))).alias("__w")
     )
-    found = pieces.join(F.broadcast(wanted) if small else wanted, "__w", "left_semi")
-    return df.join(found.select("__key").distinct(), named(key) == F.col("__key"), "left_semi")
+    hits = pieces.join(wanted.distinct(), "__w", "left_semi").select("__key").distinct()
+    return df.join(hits, named(key) == F.col("__key"), "left_semi")

@@ -56,15 +56,10 @@ def matching_requests(
     counted = found.groupBy(named(key)).agg(
         F.count("*").alias("__own"), F.count("__hit").alias("__both")
     )
-    size = wanted.agg(F.count("*").alias("__wanted"))
-    judged = (
-        everyone.join(counted, key, "left")
-        .fillna(0, ["__own", "__both"])
-        .crossJoin(F.broadcast(size))
-    )
+    judged = everyone.join(counted, key, "left").fillna(0, ["__own", "__both"])
     same = F.col("__own") == F.col("__both")
     if mode == "exact":
-        same = same & (F.col("__both") == F.col("__wanted"))
+        same = same & (F.col("__both") == wanted.agg(F.count("*")).scalar())
     return judged.where(same).select(named(key))
 
 

@@ -302,38 +302,35 @@ def convex_hull(points: DataFrame, group: str, x: str = "x", y: str = "y", salts
     """Corners of the convex hull of each group: ``group, corner, x, y``.
 
     Corners start at the leftmost lowest point and run counter-clockwise; points
-    on a straight stretch are left out. Points are thinned where they lie, batch
-    by batch and before any shuffle, then in ``salts`` shares of each group, then
-    once more. A hull of hulls is the hull, so every step is exact, and each step
-    passes on corners only.
+    on a straight stretch are left out. Each task first thins its own points
+    batch by batch, before any shuffle; what is left of a group is thinned again
+    in ``salts`` shares, then once more. A hull of hulls is the hull, so every
+    step is exact, and each step passes on corners only.
     """
     source = points.select(
         named(group).alias("g"), named(x).cast("double").alias("x"), named(y).cast("double").alias("y")
     ).where("x is not null and y is not null")
-    gtype = source.schema["g"].dataType
     plain = T.StructType(
-        [T.StructField("g", gtype), T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]
+        [source.schema["g"], T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]
     )
     numbered = T.StructType([plain[0], T.StructField("corner", T.IntegerType()), *plain[1:]])
-    corners, per_batch, per_share, final = _hull_steps()
-    thinned = source.mapInPandas(per_batch, plain)
-    share = F.pmod(F.xxhash64("x", "y"), F.lit(salts)).cast("int")
-    shared = thinned.withColumn("share", share).groupBy("g", "share").applyInPandas(per_share, plain)
-    return (
-        shared.groupBy("g").applyInPandas(final, numbered).withColumnsRenamed({"g": group, "x": x, "y": y})
-    )
+    thin, finish = _hull_steps()
+    share = F.pmod(F.xxhash64("x", "y"), F.lit(salts))
+    shares = source.mapInPandas(thin, plain).repartition(F.col("g"), share)
+    corners = shares.mapInPandas(thin, plain).groupBy("g").applyInPandas(finish, numbered)
+    return corners.withColumnsRenamed({"g": group, "x": x, "y": y})
 
 
-def _hull_steps():
+def _hull_steps(held: int = 200_000):
     # closures, so workers need nothing but numpy and pandas installed
-    def corners(xs, ys):
+    def hull(xs, ys):
         import numpy as np
 
         # points strictly inside the polygon of extreme points are no corners
         if len(xs) > 64:
             angle = np.arange(16) * (np.pi / 8)
-            dots = np.outer(np.cos(angle), xs) + np.outer(np.sin(angle), ys)
-            top = dots.argmax(axis=1)
+            reach = np.outer(np.cos(angle), xs) + np.outer(np.sin(angle), ys)
+            top = reach.argmax(axis=1)
             ex, ey = xs[top], ys[top]
             span = max(np.ptp(xs), np.ptp(ys), 1e-300)
             inner = np.ones(len(xs), dtype=bool)
@@ -364,20 +361,33 @@ def _hull_steps():
 
         return pd.DataFrame({"g": [g] * len(pts), "x": [p[0] for p in pts], "y": [p[1] for p in pts]})
 
-    def per_batch(batches):
-        for pdf in batches:
-            for g, part in pdf.groupby("g", dropna=False):
-                yield frame(part["g"].iloc[0], corners(part["x"].to_numpy(), part["y"].to_numpy()))
+    def thinned(pdf):
+        import pandas as pd
 
-    def per_share(pdf):
-        return frame(pdf["g"].iloc[0], corners(pdf["x"].to_numpy(), pdf["y"].to_numpy()))
+        parts = [
+            frame(part["g"].iloc[0], hull(part["x"].to_numpy(), part["y"].to_numpy()))
+            for _, part in pdf.groupby("g", dropna=False)
+        ]
+        return pd.concat(parts) if parts else pdf
 
-    def final(pdf):
-        out = per_share(pdf)
+    def thin(batches):
+        import pandas as pd
+
+        kept = None
+        for pdf in batches:
+            kept = thinned(pdf if kept is None else pd.concat([kept, pdf]))
+            if len(kept) > held:  # pass on early rather than hold very many corners
+                yield kept
+                kept = None
+        if kept is not None:
+            yield kept
+
+    def finish(pdf):
+        out = thinned(pdf)
         out.insert(1, "corner", range(1, len(out) + 1))
         return out
 
-    return corners, per_batch, per_share, final
+    return thin, finish
 
 
 def hull_ring(hull: DataFrame, group: str, x: str = "x", y: str = "y") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from bioobs.functions import projection as P
 from bioobs.functions.rings import box_ring, point, reproject_rings
 from bioobs.operators.ordering import BLOCK, with_key_chunk
 from bioobs.operators.shape import bind_rows
@@ -19,7 +20,17 @@ from bioobs.session import shared_folder
 from bioobs.sources.readers import scan_data_files
 from bioobs.streaming.clip_stream import start_clip_stream
 from checkqueries.geometry import AX, AY, POINTS_SQL, VERTICES_SQL
-from checkqueries.registry import CENTRE_LAT_SQL, CENTRE_LON_SQL, LAT_SQL, LON_SQL, centre, check, lat, lon, nation_polygons, table
+from checkqueries.registry import (
+    CENTRE_LAT_SQL,
+    CENTRE_LON_SQL,
+    centre,
+    check,
+    lat,
+    lon,
+    nation_polygons,
+    num,
+    table,
+)
 
 # ------------------------------------------------------------ occurrence clip
 
@@ -166,7 +177,6 @@ SPECIES_SQL = {
 }
 
 _BOX_LON, _BOX_LAT = "(-137 + r_regionkey::DOUBLE * 2)", "(49 + r_regionkey::DOUBLE)"
-_BX, _BY = AX, AY
 
 WIDE_SQL = f"""
 WITH census AS (
@@ -336,9 +346,25 @@ def q_harmonise_plots(spark, d):
     return _rounded_observations(done)
 
 
-# the SQL goes the other way: from degrees to the words
+# metres per unit of the rectifying sphere
+K = num(0.9996 * P._RECTIFYING_RADIUS)
+
+
+def _series(terms, angle, form):
+    return " ".join(form.format(c=num(c), k=2 * j, a=angle) for j, c in enumerate(terms, start=1))
+
+
 STREAM_SQL = f"""
-WITH place AS (SELECT n_name, (-123 + n_nationkey::DOUBLE * 0.05e0) AS lon, (49 + n_nationkey::DOUBLE * 0.02e0) AS lat FROM nation),
+WITH grid AS (
+  SELECT n_name, (n_nationkey * 3650)::DOUBLE / {K} AS e, (5427000 + n_nationkey * 2200)::DOUBLE / {K} AS n FROM nation),
+sphere AS (
+  SELECT n_name,
+         n {_series(P._BETA, "n", "- {c} * sin({k} * {a}) * cosh({k} * e)")} AS xi,
+         e {_series(P._BETA, "n", "- {c} * cos({k} * {a}) * sinh({k} * e)")} AS eta FROM grid),
+conformal AS (SELECT n_name, asin(sin(xi) / cosh(eta)) AS chi, atan2(sinh(eta), cos(xi)) AS lam FROM sphere),
+place AS (
+  SELECT n_name, degrees(lam) - 123 AS lon,
+         degrees(chi {_series(P._FROM_CONFORMAL, "chi", "+ {c} * sin({k} * {a})")}) AS lat FROM conformal),
 s AS (SELECT event_id, ts, 'NATION_' || (user_id % 26)::VARCHAR AS stream,
              CASE event_id % 7 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN -5 WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE round(value, 0) END AS m FROM events)
 SELECT {_sql_columns(
@@ -347,7 +373,7 @@ SELECT {_sql_columns(
     kingdom="(SELECT r_name FROM region WHERE r_regionkey = 0)", phylum="(SELECT n_name FROM nation WHERE n_nationkey = 0)",
     observed_rank="'species'",
     year_obs="year(ts)", month_obs="month(ts)", day_obs="day(ts)",
-    longitude="round(lon, 4)", latitude="round(lat, 4)",
+    longitude="round(lon, 9)", latitude="round(lat, 9)",
     coordinate_uncertainty="round(coalesce(m, (SELECT max(m) FROM s)) + 10, 3)", coordinate_uncertainty_unit="'meter'",
 )}
 FROM s LEFT JOIN place ON stream = n_name
@@ -356,8 +382,6 @@ FROM s LEFT JOIN place ON stream = n_name
 
 @check("q_harmonise_streams", STREAM_SQL)
 def q_harmonise_streams(spark, d):
-    from bioobs.functions.projection import UTM_10N
-
     key = F.col("event_id")
     case = key % 7
     number = F.round("value", 0)
@@ -371,12 +395,12 @@ def q_harmonise_streams(spark, d):
         location.alias("location_m"),
     )
     n = F.col("n_nationkey")
-    east, north = UTM_10N.forward(F.lit(-123) + n.cast("double") * 0.05, F.lit(49) + n.cast("double") * 0.02)
+    east, north = 500000 + n * 3650, 5427000 + n * 2200
     name = F.when(n == 7, "NATION_7d").otherwise(F.col("n_name"))
     words = [
         (name, 0),
-        (F.concat(F.round(east, 0).cast("bigint"), F.lit("E,")), 1),
-        (F.concat(F.round(north, 0).cast("bigint"), F.lit("N")), 2),
+        (F.concat(east, F.lit("E,")), 1),
+        (F.concat(north, F.lit("N")), 2),
         (F.lit("and other words"), 3),
     ]
     page = bind_rows(
@@ -407,5 +431,4 @@ def q_harmonise_streams(spark, d):
         {**CHECK_DATASET, "observation_type": "occurrence", "valid_scientific_name": "Sci one", "vernacular": "One"},
         stream_fixes={"NATION_7d": "NATION_7"},
     )
-    rounded = _rounded_observations(done)
-    return rounded.withColumns({c: F.round(c, 4) for c in ("longitude", "latitude")})
+    return _rounded_observations(done)
