@@ -105,7 +105,11 @@ def read_kml(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path, size, modified`` of all files below a folder; contents are not read."""
+    """``path, size, modified`` of all non-empty files below a folder.
+
+    Contents are not read. Spark plans no work for a file of zero bytes, so such
+    files are absent, which is what a scan wants.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -114,9 +118,5 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def nonempty_files(spark: SparkSession, path: str) -> DataFrame:
-    return list_files(spark, path).where("size != 0")
-
-
 def literal_table(spark: SparkSession, schema: str | T.StructType, *rows: tuple) -> DataFrame:
     return spark.createDataFrame(list(rows), schema)
