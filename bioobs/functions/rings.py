@@ -84,24 +84,30 @@ def oriented(ring: Column, hole: bool) -> Column:
     return _once(closed(ring), turn)
 
 
-def _sum_over_rings(rings: Column, field: str) -> Column:
-    return F.aggregate(rings, F.lit(0.0), lambda acc, r: acc + ring_moments(r)[field])
+def polygon_moments(rings: ColumnOrName) -> Column:
+    """``ring_moments`` summed over all rings."""
+
+    def add(acc, ring):
+        total = lambda m: F.struct(*[(acc[n] + m[n]).alias(n) for n in ("area", "mx", "my")])
+        return _once(ring_moments(ring), total)
+
+    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("area", "mx", "my")])
+    return F.aggregate(_col(rings), zero, add)
 
 
 def planar_area(rings: ColumnOrName) -> Column:
-    return _sum_over_rings(_col(rings), "area") / 2
+    return polygon_moments(rings)["area"] / 2
 
 
-def centroid(rings: ColumnOrName) -> tuple[Column, Column]:
-    """Area centroid; a single vertex is its own centroid."""
+def centroid(rings: ColumnOrName) -> Column:
+    """Area centroid as ``{x, y}``; a single vertex is its own centroid."""
     rings = _col(rings)
-    only = rings[0][0]
-    lone = F.size(rings[0]) == 1
-    weight = 3 * _sum_over_rings(rings, "area")
-    return (
-        F.when(lone, only["x"]).otherwise(_sum_over_rings(rings, "mx") / F.nullif(weight, F.lit(0.0))),
-        F.when(lone, only["y"]).otherwise(_sum_over_rings(rings, "my") / F.nullif(weight, F.lit(0.0))),
-    )
+
+    def mean(m):
+        weight = F.nullif(3 * m["area"], F.lit(0.0))
+        return point(m["mx"] / weight, m["my"] / weight)
+
+    return F.when(F.size(rings[0]) == 1, rings[0][0]).otherwise(_once(polygon_moments(rings), mean))
 
 
 def reproject_rings(rings: ColumnOrName, source: int, target: int) -> Column:

@@ -7,6 +7,7 @@ acts on all of them. Positions are 1-based and inclusive at both ends.
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from pyspark.sql import Column, functions as F
 
@@ -79,7 +80,8 @@ def file_stem(path: ColumnOrName) -> Column:
 
 def clean_name(name: str) -> str:
     """One header in snake_case; a leading digit gets an ``x``."""
-    text = name.replace("'", "").replace('"', "").replace("%", "_percent_").replace("#", "_number_")
+    plain = "".join(c for c in unicodedata.normalize("NFKD", name) if not unicodedata.combining(c))
+    text = plain.replace("'", "").replace('"', "").replace("%", "_percent_").replace("#", "_number_")
     text = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", text)
     text = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", text)
     text = re.sub(r"[^0-9A-Za-z]+", "_", text).strip("_").lower()

@@ -45,8 +45,12 @@ def replace_when(c: ColumnOrName, *cases: tuple[Column, object]) -> Column:
 
 
 def as_numeric(c: ColumnOrName) -> Column:
-    """Text that is no number becomes NULL instead of an error."""
-    return _col(c).try_cast("double")
+    """Text that is no number becomes NULL instead of an error.
+
+    Spark would read the suffixes in ``5d`` and ``5f``; they make it no number.
+    """
+    c = _col(c)
+    return F.when(~c.cast("string").rlike(r"(?i)[0-9.][df]\s*$"), c.try_cast("double"))
 
 
 def as_logical(c: ColumnOrName) -> Column:

@@ -64,6 +64,17 @@ class Grid:
         return x.between(self.x_min, self.x_max) & y.between(self.y_min, self.y_max)
 
 
+def with_srid(df: DataFrame, srid: int) -> DataFrame:
+    """Declare the coordinate system; coordinates stay as they are."""
+    return df.withColumn("srid", F.lit(srid))
+
+
+def expecting_srid(polygons: DataFrame, srid: int) -> DataFrame:
+    """The polygons, or an error when they run if one is in another system."""
+    wrong = F.raise_error(F.format_string(f"polygon in EPSG:%d, expected EPSG:{srid}", "srid"))
+    return polygons.withColumn("rings", F.when(F.col("srid") == srid, F.col("rings")).otherwise(wrong))
+
+
 def edges(polygons: DataFrame, polygon_id: str = "polygon_id") -> DataFrame:
     """One row per polygon side: ``pid, x1, y1, x2, y2``."""
     rings = polygons.select(named(polygon_id).alias("pid"), F.explode("rings").alias("ring"))

@@ -12,9 +12,11 @@ from bioobs.operators.spatial import (
     convex_hull,
     degrees_box,
     edges,
+    expecting_srid,
     fit_grid,
     hull_ring,
     points_in_polygons,
+    with_srid,
 )
 from bioobs.schemas import RANKS
 from bioobs.sources.sinks import write_partitioned
@@ -31,7 +33,7 @@ def projected_points(
 ) -> DataFrame:
     """Replace degrees by ``x, y`` in a projected system."""
     x, y = reproject(lon, lat, 4326, srid)
-    return df.withColumns({"x": x, "y": y, "srid": F.lit(srid)}).drop(lon, lat)
+    return with_srid(df.withColumns({"x": x, "y": y}).drop(lon, lat), srid)
 
 
 def clip_to_boundary(
@@ -49,6 +51,7 @@ def clip_to_boundary(
     filters the raw coordinates first, which the parquet reader can use; the
     exact test then runs in the boundary's own system.
     """
+    boundary = expecting_srid(boundary, srid)
     grid = fit_grid(edges(boundary), broadcast_bytes)
     if grid is None:
         empty = projected_points(with_known_ranks(occurrence, ranks), srid, lon, lat)

@@ -39,9 +39,10 @@ NO_EFFORT = {
 
 def _located(sites: DataFrame) -> DataFrame:
     """Sites with centroid and area instead of geometry."""
-    lon, lat = centroid("rings")
-    measured = sites.withColumns({"longitude": lon, "latitude": lat, "area": area_m2("rings")})
-    return measured.drop("rings", "geometry_type", "srid")
+    measured = sites.withColumns({"centre": centroid("rings"), "area": area_m2("rings")})
+    return measured.withColumns(
+        {"longitude": F.col("centre.x"), "latitude": F.col("centre.y")}
+    ).drop("rings", "geometry_type", "srid", "centre")
 
 
 def _finished(df: DataFrame, dataset: Mapping) -> DataFrame:

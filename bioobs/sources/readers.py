@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from bioobs.functions.rings import oriented, point
+from bioobs.functions.values import as_numeric
 from bioobs.operators.ordering import with_file_position
 from bioobs.operators.shape import named, with_clean_names
 
@@ -24,10 +25,17 @@ def scan_parquet(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
 def scan_data_files(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Only the ``*.parquet`` files under a folder that also holds markers.
 
-    Folder names become partition columns, as text.
+    Folder names become partition columns, as text: a taxon called ``007`` keeps
+    its zeros whatever the session's setting.
     """
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.option("pathGlobFilter", "*.parquet").option("basePath", path).parquet(path)
+    guess = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(guess)
+    spark.conf.set(guess, "false")
+    try:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.option("pathGlobFilter", "*.parquet").option("basePath", path).parquet(path)
+    finally:
+        spark.conf.set(guess, before)
 
 
 def read_csv(
@@ -35,11 +43,14 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header: cleaned names, ``NA`` and blanks missing, bad values NULL.
 
-    Names come from the header line; nothing is inferred from the data. ``types``
-    maps cleaned names to Spark types, other columns stay text. ``position`` adds
-    the order columns ``fill_down`` needs.
+    Names come from the header line; nothing is inferred from the data. Several
+    files must have the same header, which is checked. ``types`` maps cleaned
+    names to Spark types, other columns stay text. ``position`` adds the order
+    columns ``fill_down`` needs.
     """
-    raw = spark.read.option("header", True).option("nullValue", "NA").csv(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("nullValue", "NA")
+    trimmed = reader.option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+    raw = trimmed.csv(path)
     if position:
         df = with_file_position(raw)
         names = with_clean_names(raw).columns
@@ -47,7 +58,9 @@ def read_csv(
     else:
         df = with_clean_names(raw)
     if types:
-        df = df.withColumns({c: named(c).try_cast(t) for c, t in types.items()})
+        df = df.withColumns(
+            {c: as_numeric(named(c)) if t == "double" else named(c).try_cast(t) for c, t in types.items()}
+        )
     return df
 
 

@@ -173,13 +173,12 @@ g AS (SELECT n_nationkey, sum(w) / 2 AS area, any_value(lon0) + sum(sx * c) / (3
 SELECT n_nationkey, round(area, 0) AS area, round(cx, 9) AS lon, round(cy, 9) AS lat, round(sqrt(area / pi()), 3) AS radius FROM g
 """)
 def q_polygon_measures(spark, d):
-    cx, cy = centroid("rings")
-    rows = nation_polygons(spark, d).withColumns({"lon": cx, "lat": cy, "area": area_m2("rings")})
+    rows = nation_polygons(spark, d).withColumns({"centre": centroid("rings"), "area": area_m2("rings")})
     return rows.select(
         F.col("polygon_id").alias("n_nationkey"),
         F.round("area", 0).alias("area"),
-        F.round("lon", 9).alias("lon"),
-        F.round("lat", 9).alias("lat"),
+        F.round("centre.x", 9).alias("lon"),
+        F.round("centre.y", 9).alias("lat"),
         F.round(circle_radius("area"), 3).alias("radius"),
     )
 
@@ -275,7 +274,7 @@ def q_kml(spark, d):
     marks = table(spark, d, "nation").groupBy("n_regionkey").agg(F.string_agg(mark).alias("marks"))
     kml = F.concat(F.lit("<kml><Document>"), F.col("marks"), F.lit("</Document></kml>"))
     marks.select(kml.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
-    x, y = centroid("rings")
-    return read_kml(spark, path).select(
-        "name", "geometry_type", F.round(x, 9).alias("x"), F.round(y, 9).alias("y"), "srid"
+    marks = read_kml(spark, path).withColumn("centre", centroid("rings"))
+    return marks.select(
+        "name", "geometry_type", F.round("centre.x", 9).alias("x"), F.round("centre.y", 9).alias("y"), "srid"
     )

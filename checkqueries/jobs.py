@@ -369,7 +369,7 @@ s AS (SELECT event_id, ts, 'NATION_' || (user_id % 26)::VARCHAR AS stream,
              CASE event_id % 7 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN -5 WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE round(value, 0) END AS m FROM events)
 SELECT {_sql_columns(
     **CHECK_SQL,
-    valid_scientific_name="'Sci one'", vernacular="'One'", observation_value="1", observation_type="'occurrence'",
+    valid_scientific_name="'Sci NATION_0'", vernacular="'One'", observation_value="1", observation_type="'occurrence'",
     kingdom="(SELECT r_name FROM region WHERE r_regionkey = 0)", phylum="(SELECT n_name FROM nation WHERE n_nationkey = 0)",
     observed_rank="'species'",
     year_obs="year(ts)", month_obs="month(ts)", day_obs="day(ts)",
@@ -420,15 +420,17 @@ def q_harmonise_streams(spark, d):
             F.col("n_name").alias("name"),
         ),
     )
-    meant = table(spark, d, "nation").where("n_nationkey = 0").select(
-        F.lit("Sci one").alias("query"), F.lit(1).alias("candidate_rank"), F.lit(100).cast("bigint").alias("taxon_id")
+    meant = table(spark, d, "nation").select(
+        F.concat(F.lit("Sci "), "n_name").alias("query"),
+        F.lit(1).alias("candidate_rank"),
+        (F.col("n_nationkey") + 100).cast("bigint").alias("taxon_id"),
     )
     done = stream_survey_observations(
         survey,
         page,
         meant,
         backbone,
-        {**CHECK_DATASET, "observation_type": "occurrence", "valid_scientific_name": "Sci one", "vernacular": "One"},
+        {**CHECK_DATASET, "observation_type": "occurrence", "valid_scientific_name": "Sci NATION_0", "vernacular": "One"},
         stream_fixes={"NATION_7d": "NATION_7"},
     )
     return _rounded_observations(done)

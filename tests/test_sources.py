@@ -39,6 +39,10 @@ def test_csv(spark, tmp_path):
     df = read_csv(spark, str(path), {"abundance_97": "double", "no": "int"})
     assert df.columns == ["x4_letter_code", "abundance_97", "no"]
     assert [tuple(r) for r in df.collect()] == [("AMRO", None, 1), ("GULL, big", 3.0, None), (None, None, None)]
+    other = tmp_path / "other.csv"
+    other.write_text("No,4 letter code,Abundance 97\n1,AMRO,2\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path / "*.csv")).collect()
     ordered = read_csv(spark, str(path), position=True)
     assert ordered.columns[:3] == df.columns and len(ordered.columns) == 6
 
@@ -58,7 +62,11 @@ def test_partitioned_write(spark, tmp_path):
     df = spark.range(1000).select("id", F.when(F.col("id") % 10 == 0, "1").otherwise("007").alias("class"))
     write_partitioned(df, path, ["class"], rows_per_file=100)
     (tmp_path / "hive" / "class=1" / "marker.txt").write_text("empty")
-    back = scan_data_files(spark, path)
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
+    try:
+        back = scan_data_files(spark, path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     assert dict(back.dtypes)["class"] == "string" and back.count() == 1000
     assert {r["class"]: r["count"] for r in back.groupBy("class").count().collect()} == {"1": 100, "007": 900}
     sizes = back.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]

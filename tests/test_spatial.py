@@ -5,15 +5,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from bioobs.operators.spatial import convex_hull, hull_ring, points_in_polygons, tag_points
+from bioobs.operators.spatial import convex_hull, hull_ring, points_in_polygons, tag_points, with_srid
 from bioobs.plans.occurrence import clip_to_boundary
 from bioobs.schemas import GEOMETRY_SCHEMA
 
 BOUNDARY = T.StructType([T.StructField("polygon_id", T.IntegerType()), *GEOMETRY_SCHEMA])
 
 
-def polygon(number, *rings):
-    return (number, "POLYGON", [[(float(x), float(y)) for x, y in r] for r in rings], 0)
+def polygon(number, *rings, srid=3005):
+    return (number, "POLYGON", [[(float(x), float(y)) for x, y in r] for r in rings], srid)
 
 
 def square(x, y, w):
@@ -96,6 +96,8 @@ def test_clip_keeps_or_rejects_every_record(spark):
     assert all(1_000_000 <= r.x <= 1_500_000 and 400_000 <= r.y <= 900_000 for r in kept)
     assert {r.kingdom for r in kept} == {"unknown"} and "decimallongitude" not in clipped.columns
     assert clip_to_boundary(occurrence, boundary.where("false")).columns == clipped.columns
+    with pytest.raises(Exception, match="expected EPSG:3005"):
+        clip_to_boundary(occurrence, with_srid(boundary, 4326)).collect()
 
 
 def test_hull_contains_all_and_is_convex(spark):
