@@ -10,6 +10,8 @@ from bioobs.operators.shape import named
 
 # Up to this many words become one pattern; longer lists are joined.
 PATTERN_WORDS = 500
+# Characters of a text in which words may start, per piece of a join.
+WINDOW = 256
 
 
 def match_any(df: DataFrame, text: str, words: DataFrame, word: str, key: str) -> DataFrame:
@@ -33,16 +35,28 @@ def match_any(df: DataFrame, text: str, words: DataFrame, word: str, key: str) -
 def match_any_joined(df: DataFrame, text: str, words: DataFrame, word: str, key: str) -> DataFrame:
     wanted = words.select(named(word).alias("__w")).where("length(__w) > 0")
     # the few word lengths that occur, not the words
-    found = wanted.agg(F.sort_array(F.collect_set(F.length("__w")))).first()[0]
+    sizes = wanted.agg(F.sort_array(F.collect_set(F.length("__w")))).first()[0]
+    if not sizes:
+        return df.where(F.lit(False))
+
+    # Cut a text into windows first: finding a position in a long text takes time
+    # in proportion to the position. Windows overlap by the longest word.
+    starts = F.sequence(F.lit(1), F.greatest(F.length("__text"), F.lit(1)), F.lit(WINDOW))
+    cut = F.transform(starts, lambda i: F.substring(F.col("__text"), i, F.lit(WINDOW + sizes[-1] - 1)))
+    windows = df.select(named(key).alias("__key"), named(text).alias("__text")).select(
+        "__key", F.explode(cut).alias("__part")
+    )
 
-    def of_length(size):
-        starts = F.sequence(F.lit(1), F.length("__text") - size + 1)
-        return F.transform(starts, lambda i: F.substring(F.col("__text"), i, size))
+    def of_size(size):
+        last = F.least(F.length("__part") - size + 1, F.lit(WINDOW))
+        return F.transform(
+            F.sequence(F.lit(1), last), lambda i: F.substring(F.col("__part"), i, size)
+        )
 
-    lengths = F.array(*[F.lit(n) for n in found]).cast("array<int>")
-    fitting = F.filter(lengths, lambda n: n <= F.length("__text"))
-    pieces = df.select(named(key).alias("__key"), named(text).alias("__text")).select(
-        "__key", F.explode(F.array_distinct(F.flatten(F.transform(fitting, of_length)))).alias("__w")
+    known = F.array(*[F.lit(n) for n in sizes])
+    fitting = F.filter(known, lambda n: n <= F.length("__part"))
+    pieces = windows.select(
+        "__key", F.explode(F.array_distinct(F.flatten(F.transform(fitting, of_size)))).alias("__w")
     )
     hits = pieces.join(wanted.distinct(), "__w", "left_semi").select("__key").distinct()
     return df.join(hits, named(key) == F.col("__key"), "left_semi")

@@ -144,7 +144,9 @@ SELECT n_nationkey, xmin, ymin, xmax, ymax,
        'POLYGON ((' || xmin || ' ' || ymin || ', ' || xmax || ' ' || ymin || ', ' || xmax || ' ' || ymax || ', '
        || xmin || ' ' || ymax || ', ' || xmin || ' ' || ymin || '))' AS geom
 FROM (SELECT n_nationkey, {CENTRE_LON_SQL} - 0.5e0 AS xmin, {CENTRE_LAT_SQL} - 0.25e0 AS ymin,
-             {CENTRE_LON_SQL} + 0.5e0 AS xmax, {CENTRE_LAT_SQL} + 0.25e0 AS ymax FROM nation WHERE n_nationkey % 5 <> 0)
+             {CENTRE_LON_SQL} + 0.5e0 AS xmax, {CENTRE_LAT_SQL} + 0.25e0 AS ymax,
+             CASE WHEN n_nationkey % 5 <> 0 THEN 'box' END AS geom_bbox FROM nation)
+WHERE geom_bbox IS NOT NULL
 """)
 def q_bbox_polygon(spark, d):
     cx, cy = centre()

@@ -249,7 +249,7 @@ def q_harmonise(spark, d):
 LONG_SQL = f"""
 WITH filled AS (
   SELECT event_id, user_id, event_type, value,
-         last_value(CASE WHEN event_id % 20 = 3 THEN ts::DATE END IGNORE NULLS) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS day
+         last_value(CASE WHEN event_id % 20 = 0 THEN ts::DATE END IGNORE NULLS) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS day
   FROM events),
 long AS (
   SELECT *, try_cast((1900 + y)::VARCHAR || strftime(day, '-%m-%d') AS DATE) AS date,
@@ -293,7 +293,7 @@ def q_harmonise_long(spark, d):
     census = events.select(
         "event_id",
         F.when(plot == 24, "edge pt").otherwise(F.concat(plot.cast("string"), F.lit("n"))).alias("point_number"),
-        F.when(key % 20 == 3, F.col("ts").cast("date")).alias("date"),
+        F.when(key % 20 == 0, F.col("ts").cast("date")).alias("date"),
         F.when(F.col("event_type") != "signup", F.col("event_type")).alias("species"),
         F.when(key % 11 == 0, ".").otherwise((key % 4).cast("string")).alias("abundance_97"),
         (key % 3).cast("double").alias("abundance_98"),

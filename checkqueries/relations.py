@@ -54,39 +54,41 @@ def q_metadata_recycle(spark, d):
 
 @check("q_left_named", """
 SELECT o_orderkey, o.who, c.c_name
-FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_custkey END AS who FROM orders) o
-LEFT JOIN (SELECT CASE WHEN c_custkey = 7 THEN NULL ELSE c_custkey END AS k, c_name FROM customer WHERE c_mktsegment <> 'BUILDING') c
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_custkey::VARCHAR END AS who FROM orders) o
+LEFT JOIN (SELECT CASE WHEN c_custkey = 7 THEN NULL ELSE c_custkey::VARCHAR END AS k, c_name FROM customer WHERE c_mktsegment <> 'BUILDING') c
 ON o.who IS NOT DISTINCT FROM c.k
 """)
 def q_left_named(spark, d):
     left = table(spark, d, "orders").select(
-        "o_orderkey", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey")).alias("who")
+        "o_orderkey", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey").cast("string")).alias("who")
     )
     right = (
         table(spark, d, "customer")
         .where("c_mktsegment <> 'BUILDING'")
-        .select(F.when(F.col("c_custkey") != 7, F.col("c_custkey")).alias("k"), "c_name")
+        .select(F.when(F.col("c_custkey") != 7, F.col("c_custkey").cast("string")).alias("k"), "c_name")
     )
     return join_named(left, right, [("who", "k")])
 
 
-NATION_KEYS = "SELECT n_nationkey, CASE WHEN n_regionkey = 1 THEN NULL ELSE n_regionkey END AS regionkey FROM nation"
-REGION_KEYS = """SELECT CASE WHEN r_regionkey = 1 THEN NULL ELSE r_regionkey END AS regionkey, r_name FROM region WHERE r_regionkey <> 3
-UNION ALL SELECT r_regionkey, 'copy' FROM region WHERE r_regionkey = 2"""
+NATION_KEYS = "SELECT n_nationkey, CASE WHEN n_regionkey = 1 THEN NULL ELSE n_regionkey::VARCHAR END AS regionkey FROM nation"
+REGION_KEYS = """SELECT CASE WHEN r_regionkey = 1 THEN NULL ELSE r_regionkey::VARCHAR END AS regionkey, r_name FROM region WHERE r_regionkey <> 3
+UNION ALL SELECT r_regionkey::VARCHAR, 'copy' FROM region WHERE r_regionkey = 2"""
 
 
 def nation_keys(spark, d):
     return table(spark, d, "nation").select(
-        "n_nationkey", F.when(F.col("n_regionkey") != 1, F.col("n_regionkey")).alias("regionkey")
+        "n_nationkey", F.when(F.col("n_regionkey") != 1, F.col("n_regionkey").cast("string")).alias("regionkey")
     )
 
 
 def region_keys(spark, d):
     rows = table(spark, d, "region")
     some = rows.where("r_regionkey <> 3").select(
-        F.when(F.col("r_regionkey") != 1, F.col("r_regionkey")).alias("regionkey"), "r_name"
+        F.when(F.col("r_regionkey") != 1, F.col("r_regionkey").cast("string")).alias("regionkey"), "r_name"
+    )
+    copy = rows.where("r_regionkey = 2").select(
+        F.col("r_regionkey").cast("string").alias("regionkey"), F.lit("copy").alias("r_name")
     )
-    copy = rows.where("r_regionkey = 2").select(F.col("r_regionkey").alias("regionkey"), F.lit("copy").alias("r_name"))
     return bind_rows(some, copy)
 
 
@@ -316,7 +318,7 @@ def q_taxon_chain(spark, d):
 
 
 @check("q_taxon_wide", """
-SELECT c_name AS query, r_name AS kingdom, n_name AS phylum, c_name AS class, NULL AS "order", NULL AS family, NULL AS genus, NULL AS species
+SELECT c_name AS query, r_name AS kingdom, n_name AS phylum, c_name AS class, NULL::VARCHAR AS "order", NULL::VARCHAR AS family, NULL::VARCHAR AS genus, NULL::VARCHAR AS species
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 """)
 def q_taxon_wide(spark, d):

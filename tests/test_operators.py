@@ -159,7 +159,9 @@ def test_match_any_is_literal_substring(spark):
 def test_match_any_long_list_agrees_with_brute_force(spark):
     random.seed(2)
     texts = [(i, "".join(random.choice("abc") for _ in range(random.randint(0, 30)))) for i in range(200)]
-    words = ["".join(random.choice("abc") for _ in range(random.randint(4, 9))) for _ in range(900)]
+    # long texts whose only match lies anywhere, also across a window's end
+    texts += [(1000 + at, "ddddd" * (at // 5) + "d" * (at % 5) + "abcdé" + "d" * (at % 7)) for at in range(240, 530)]
+    words = ["".join(random.choice("abc") for _ in range(random.randint(4, 9))) for _ in range(900)] + ["abcdé"]
     df = spark.createDataFrame(texts, "id int, t string")
     got = match_any(df, "t", spark.createDataFrame([(w,) for w in words], "w string"), "w", "id")
     assert rows(got) == sorted([x for x in texts if any(w in x[1] for w in words)], key=str)
