@@ -61,7 +61,9 @@ e AS (SELECT a.n_nationkey, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
       FROM v a JOIN v b ON a.n_nationkey = b.n_nationkey AND b.i = (a.i + 1) % 6),
 p AS (SELECT o_orderkey, {AX} AS x, {AY} AS y FROM ({POINTS_SQL})),
 hits AS (SELECT o_orderkey FROM p, e WHERE (y1 > y) <> (y2 > y) AND x < x1 + (y - y1) * (x2 - x1) / (y2 - y1)
-         GROUP BY o_orderkey, n_nationkey HAVING count(*) % 2 = 1)
+         GROUP BY o_orderkey, n_nationkey HAVING count(*) % 2 = 1
+         UNION SELECT o_orderkey FROM p, e WHERE (x2 - x1) * (y - y1) = (y2 - y1) * (x - x1)
+           AND x BETWEEN least(x1, x2) AND greatest(x1, x2) AND y BETWEEN least(y1, y2) AND greatest(y1, y2))
 SELECT o_orderkey,
        coalesce(CASE WHEN o_orderkey % 6 <> 0 THEN o_orderstatus END, 'unknown') AS kingdom,
        coalesce(CASE WHEN o_orderkey % 4 <> 0 THEN o_orderpriority END, 'unknown') AS phylum,
