@@ -17,7 +17,7 @@ a left semi join, so a point never multiplies, needs no id and is not grouped.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -25,9 +25,11 @@ from bioobs.functions.projection import PROJECTIONS
 from bioobs.functions.rings import crosses_right, on_segment, ring_edges
 from bioobs.operators.shape import named
 
-# The cell table is copied to every executor up to this estimated size.
-BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_SIDE = 256
+# The cell table is copied to every executor up to this size, bounded beforehand.
+BROADCAST_BYTES = 256 * 1024 * 1024
+MAX_SIDE = 1024
+# Part of a cell by which a clipped edge is widened, far above any rounding.
+SLACK = 0.05
 
 
 @dataclass(frozen=True)
@@ -120,15 +122,12 @@ def fit_grid(sides: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Grid |
     if not total.n:
         return None
     corner = (total.left, total.low, total.right, total.top)
-    side = int(4 * total.n**0.5)
-    grid = Grid(*corner, max(16, min(MAX_SIDE, side)))
+    grid = Grid(*corner, max(16, min(MAX_SIDE, int(2 * total.n**0.5))))
     w, h = grid.width, grid.height
-    # upper bounds: a polygon's box in cells, and a side's cells with the slack of ``cell_tests``
+    # upper bounds: a polygon's box in cells, and a side's cells as ``cell_tests`` spreads it
     cells = total.area / (w * h) + 2 * (total.wide / w + total.tall / h) + 4 * total.polygons
-    entries = total.dx / w + 3 * total.dy / h + 8 * total.n
-    if cells * 64 + entries * 48 <= broadcast_bytes:
-        return grid
-    return Grid(*corner, max(16, side), small=False)
+    entries = 2 * total.dx / w + 2 * total.dy / h + 4 * total.n
+    return replace(grid, small=cells * 64 + entries * 48 <= broadcast_bytes)
 
 
 def cell_tests(sides: DataFrame, grid: Grid) -> DataFrame:
@@ -142,20 +141,19 @@ def cell_tests(sides: DataFrame, grid: Grid) -> DataFrame:
 
     def x_at(y: Column) -> Column:
         inside = F.least(F.greatest(y, low), high)
-        return F.col("x1") + (inside - F.col("y1")) * (F.col("x2") - F.col("x1")) / (
-            F.col("y2") - F.col("y1")
-        )
+        rise = F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
+        return F.col("x1") + (inside - F.col("y1")) * (F.col("x2") - F.col("x1")) / rise
 
-    flat = F.col("y1") == F.col("y2")
     per_row = sides.withColumn("row", F.explode(F.sequence(grid.row(low), grid.row(high))))
     bottom = F.lit(grid.y_min) + F.col("row") * grid.height
-    xa = F.when(flat, left).otherwise(x_at(bottom))
-    xb = F.when(flat, right).otherwise(x_at(bottom + grid.height))
-    # one cell of slack absorbs rounding in the clipped range
+    xa, xb = x_at(bottom), x_at(bottom + grid.height)
+    # a nearly level edge is not clipped: where it meets a row's border is ill-defined
+    level = high - low < 1e-3 * grid.height
+    reach = SLACK * grid.width
     pieces = per_row.withColumns(
         {
-            "c0": F.greatest(grid.cell(left), grid.cell(F.least(xa, xb)) - 1),
-            "c1": F.least(grid.cell(right), grid.cell(F.greatest(xa, xb)) + 1),
+            "c0": grid.cell(F.when(level, left).otherwise(F.greatest(left, F.least(xa, xb) - reach))),
+            "c1": grid.cell(F.when(level, right).otherwise(F.least(right, F.greatest(xa, xb) + reach))),
         }
     )
     near = pieces.select(
@@ -169,7 +167,7 @@ def cell_tests(sides: DataFrame, grid: Grid) -> DataFrame:
         return F.when(r > F.col("row"), F.lit(float("inf"))).when(r == F.col("row"), F.col(y))
 
     ends = (
-        pieces.where(~flat & (F.col("c0") > 0))
+        pieces.where((F.col("y1") != F.col("y2")) & (F.col("c0") > 0))
         .select("pid", "row", "c0", F.explode(F.array(end("y1"), end("y2"))).alias("y"))
         .where(F.col("y").isNotNull())
     )
@@ -220,10 +218,10 @@ def _join_cells(points, polygons, x, y, polygon_id, broadcast_bytes, grid, how):
         # pushed down to the reader where x and y are stored columns
         points = points.where(grid.covers(px, py))
     tests = cell_tests(sides, grid)
-    if grid.small:
+    if grid.small or points.isStreaming:
         cells = _marked(cell_table(tests))
         here = grid.holds(px, py, "__row", "__cell")
-        return points.join(F.broadcast(cells), here & _inside(px, py), how)
+        return points.join(F.broadcast(cells) if grid.small else cells, here & _inside(px, py), how)
     spots = _spots_inside(points.select(px.alias("__x"), py.alias("__y")), tests, grid)
     if how == "left_semi":
         spots = spots.select("__x", "__y").distinct()

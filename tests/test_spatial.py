@@ -48,6 +48,8 @@ def scene(spark):
         polygon(3, star(20, 80, 37, 1, 25)),
         polygon(4, [(0, 0), (100, 1e-9), (100, 0)]),  # a sliver
         polygon(5, [(10, 10), (30, 10), (30, 30), (20, 12), (10, 30)]),
+        # nearly level edges that straddle the borders of rows
+        polygon(6, [(0, 40), (100, 40 + 1e-13), (100, 60 - 1e-12), (50, 60 + 1e-12), (0, 60)]),
     ]
     rng = np.random.default_rng(4)
     corners = np.array([v for p in polygons for r in p[2] for v in r])

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import types as T
 
 from bioobs.plans.occurrence import clip_to_boundary, write_clipped
@@ -18,11 +19,12 @@ def records(spark, lon, n):
     return spark.createDataFrame(rows, OCCURRENCE_SCHEMA).coalesce(1)
 
 
-def test_each_file_once(spark, tmp_path):
+@pytest.mark.parametrize("limit", [64 * 2**20, 0], ids=["broadcast", "shuffled"])
+def test_each_file_once(spark, tmp_path, limit):
     inbox, out, progress = (str(tmp_path / p) for p in ("in", "out", "progress"))
 
     def run():
-        query = start_clip_stream(spark, inbox, boundary(spark), out, progress)
+        query = start_clip_stream(spark, inbox, boundary(spark), out, progress, broadcast_bytes=limit)
         query.awaitTermination()
         return spark.read.parquet(out)
 
