@@ -27,7 +27,7 @@ from bioobs.operators.shape import named
 
 # The cell table is copied to every executor up to this size, bounded beforehand.
 BROADCAST_BYTES = 256 * 1024 * 1024
-MAX_SIDE = 1024
+MAX_SIDE = 512
 # Part of a cell by which a clipped edge is widened, far above any rounding.
 SLACK = 0.05
 
@@ -57,10 +57,15 @@ class Grid:
     def row(self, y: Column) -> Column:
         return F.floor((y - self.y_min) / self.height)
 
-    def holds(self, x: Column, y: Column, row: str, cell: str) -> Column:
-        """The point lies in this cell; NaN lies nowhere."""
-        number = lambda v: F.nanvl(v, F.lit(None).cast("double"))
-        return (self.row(number(y)) == F.col(row)) & (self.cell(number(x)) == F.col(cell))
+    def number(self, row: Column, cell: Column) -> Column:
+        """One number per cell of the grid; NULL outside."""
+        here = row.between(0, self.side) & cell.between(0, self.side)
+        return F.when(here, row * (self.side + 1) + cell)
+
+    def number_at(self, x: Column, y: Column) -> Column:
+        """Number of the cell that holds a point; NaN lies nowhere."""
+        known = lambda v: F.nanvl(v, F.lit(None).cast("double"))
+        return self.number(self.row(known(y)), self.cell(known(x)))
 
     def covers(self, x: Column, y: Column) -> Column:
         return x.between(self.x_min, self.x_max) & y.between(self.y_min, self.y_max)
@@ -184,10 +189,11 @@ def cell_tests(sides: DataFrame, grid: Grid) -> DataFrame:
     return near.unionByName(far)
 
 
-def cell_table(tests: DataFrame) -> DataFrame:
+def cell_table(tests: DataFrame, grid: Grid) -> DataFrame:
     """``cell_tests`` with one row per cell and polygon."""
     edge = F.struct("x1", "y1", "x2", "y2")
-    return tests.groupBy("pid", "row", "cell").agg(
+    number = grid.number(F.col("row"), F.col("cell"))
+    return tests.groupBy("pid", number.alias("number")).agg(
         F.collect_list(F.when(F.col("kind") == "edge", edge)).alias("near"),
         F.collect_list(F.when(F.col("kind") == "start", F.col("y1"))).alias("starts"),
         (F.count(F.when(F.col("kind") == "above", 1)) % 2 == 1).alias("above"),
@@ -219,8 +225,8 @@ def _join_cells(points, polygons, x, y, polygon_id, broadcast_bytes, grid, how):
         points = points.where(grid.covers(px, py))
     tests = cell_tests(sides, grid)
     if grid.small or points.isStreaming:
-        cells = _marked(cell_table(tests))
-        here = grid.holds(px, py, "__row", "__cell")
+        cells = _marked(cell_table(tests, grid))
+        here = grid.number_at(px, py) == F.col("__number")
         return points.join(F.broadcast(cells) if grid.small else cells, here & _inside(px, py), how)
     spots = _spots_inside(points.select(px.alias("__x"), py.alias("__y")), tests, grid)
     if how == "left_semi":
@@ -277,7 +283,8 @@ def _spots_inside(spots: DataFrame, tests: DataFrame, grid: Grid, salts: int = 1
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     met = place.alias("p").join(
         tests.withColumn("salt", copies).alias("t"),
-        grid.holds(px, py, "row", "cell") & (F.col("p.salt") == F.col("t.salt")),
+        (grid.number_at(px, py) == grid.number(F.col("row"), F.col("cell")))
+        & (F.col("p.salt") == F.col("t.salt")),
     )
     side = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
     flip = (
