@@ -84,3 +84,8 @@ LOCATION_FIXES = {".": "0", "O": "0", "minus 5": "-5"}
 GPS_ERROR_M = 10.0
 # --- fixed values: the wide census counts birds per 40 ha ---------------------
 CENSUS_AREA_HA = 40.0
+
+# --- fixed values: earlier downloads that may be used again -------------------
+REQUEST_STATUS = "SUCCEEDED"
+REQUEST_SOURCE = "rgbif"
+REUSE_DAYS = 30

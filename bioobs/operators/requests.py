@@ -6,13 +6,18 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
+from bioobs import fixed_values as V
 from bioobs.functions.values import newer_than
 from bioobs.operators.joins import natural_join
 from bioobs.operators.shape import named
 
 
 def usable_history(
-    history: DataFrame, as_of: date | str, days: int = 30, status="SUCCEEDED", source="rgbif"
+    history: DataFrame,
+    as_of: date | str,
+    days: int = V.REUSE_DAYS,
+    status: str = V.REQUEST_STATUS,
+    source: str = V.REQUEST_SOURCE,
 ) -> DataFrame:
     """Finished requests of one client within the reuse window."""
     return history.where(

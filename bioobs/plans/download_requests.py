@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bioobs.fixed_values import REUSE_DAYS
 from bioobs.operators.predicates import DEFAULT_QUALITY, And, Predicate, Within, predicate_table
 from bioobs.operators.requests import (
     flat_predicates,
@@ -19,7 +20,12 @@ def request_for(wkt: str) -> Predicate:
 
 
 def reusable_download(
-    spark: SparkSession, history: DataFrame, request: Predicate, as_of, days: int = 30, mode: str = "exact"
+    spark: SparkSession,
+    history: DataFrame,
+    request: Predicate,
+    as_of,
+    days: int = REUSE_DAYS,
+    mode: str = "exact",
 ) -> DataFrame:
     """The newest recent download of the same request: one row or none.
 
