@@ -4,7 +4,6 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from bioobs.fixed_values import DATASETS, EXTRA_SPECIES
 from bioobs.operators.taxonomy import species_with_ranks
