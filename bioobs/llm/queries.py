@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from bioobs.llm import source_mix, url_filter
 from bioobs.llm.byte_bpe import digest_documents
 from bioobs.llm.common import read_table, stored, word_count
+from bioobs.llm.html_extract import extract_pages
 from bioobs.llm.jaccard_join import jaccard_components
+from bioobs.llm.lm_scoring import score_documents
 from bioobs.llm.quality_rules import judged
 from bioobs.llm.fingerprints import fingerprint_documents
 from bioobs.llm.secret_scan import scan_documents
@@ -31,6 +33,11 @@ def check(name: str, sql: str | None = None):
     return keep
 
 
+@check("op1_lm_scoring")
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(read_table(spark, folder, "documents"))
+
+
 @check("op2_quality_rules")
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
@@ -46,6 +53,11 @@ def secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return scan_documents(read_table(spark, folder, "documents"))
 
 
+@check("op5_html_extraction")
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(read_table(spark, folder, "pages"))
+
+
 @check("op6_document_fingerprints")
 def document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_documents(read_table(spark, folder, "documents"))
