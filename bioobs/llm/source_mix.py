@@ -90,13 +90,19 @@ def placed(sizes: DataFrame) -> DataFrame:
     )
 
 
+def _parts(df: DataFrame) -> int:
+    """Small rows that grow into many are dealt to a fixed number of tasks, which
+    adaptive execution, knowing their size before they grow, does not merge."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _counted_rows(per_row: DataFrame, count: str, index: str, chunk: int) -> DataFrame:
     """Each row ``count`` times, numbered from 0; no array is longer than ``chunk``."""
     chunks = per_row.where(F.col(count) > 0).select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / chunk).cast("long"))).alias("__c")
     )
     return (
-        chunks.repartition(F.struct("src", "__c"))
+        chunks.repartition(_parts(per_row), "src", "__c")
         .select(
             "*",
             F.explode(
@@ -140,7 +146,7 @@ def drawn_slots(wanted: DataFrame, shard_slots: int) -> DataFrame:
     earlier = Window.partitionBy("src").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     begun = counts.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     last = F.col("first") + F.col("n") - 1
-    slots = begun.select("shard", "src", "blocks", F.explode(F.sequence("first", last)).alias("slot"))
+    slots = begun.repartition(_parts(wanted), "src", "shard").select("shard", "src", "blocks", F.explode(F.sequence("first", last)).alias("slot"))
     turn = F.floor(F.col("slot") / F.col("blocks")).cast("long")
     block = permuted(F.col("src"), turn, F.col("slot") % F.col("blocks"), F.col("blocks"))
     return slots.select("shard", "src", "slot", block.alias("block"))
@@ -177,8 +183,9 @@ def mix_documents(
         )
     )
     times = F.coalesce("times", F.lit(0))
+    # both sides grow with the corpus, though the planner takes the slots for a small table
     taken = (
-        pieces.join(taken_blocks, ["src", "block"], "left")
+        pieces.join(taken_blocks.hint("merge"), ["src", "block"], "left")
         .groupBy(*row)
         .agg(
             F.sum(F.col("words") * times).alias("taken"),
