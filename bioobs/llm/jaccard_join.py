@@ -13,12 +13,15 @@ block of any set it links with. From there:
 3. Pairs pass a bit sketch (the bits that differ are at most the symmetric
    difference), then the sets themselves decide. Links make components.
 4. Where a key still joins several components: in groups of up to ``SMALL_GROUP``
-   classes the other pairs are tested too; larger groups are gathered to clusters,
-   cut into pieces of bounded size by component, and pairs of pieces are compared by
-   bit sketch, skipping pieces of one component. Survivors are verified.
+   rows the other pairs are tested too; larger groups are cut into pieces of bounded
+   size, and pairs of pieces are compared by bit sketch inside tasks, across
+   components only. Survivors are verified. Where they would be many more than the
+   rows, first each component's most similar pair is, then, across the components
+   this gives, all.
 
 No pair that can link is left out: it is tested, or both ends are in one
-component already. Groups are never expanded to all pairs of rows.
+component already. Large groups are never expanded to rows of pairs; what leaves them
+are pairs that the sketches cannot tell from links.
 
 Defined cases: a missing text, and one without words, has an empty set, links with
 nothing and is its own component; repeated rows are one class; a row without an id
@@ -33,7 +36,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from bioobs.llm.common import arrow_schema, batch_of, map_rows, stored
 from bioobs.llm.components import components
@@ -46,16 +49,21 @@ from bioobs.llm.shingles import (
     may_link,
     shingle_set,
     sketch_keys,
+    slack,
 )
 from bioobs.llm.words import mixed
 from bioobs.operators.joins import broadcast_if_small
 
 SMALL_GROUP = 12
-# shingles in one piece of a cluster
-PIECE_SHINGLES = 100_000
+# rows of a large group that are compared at a time
+PIECE_ROWS = 4_096
 # blocks a task counts at a time, and how often one must occur there to be reported
 COUNTED_BLOCKS = 3_000_000
 REPORTED = 8
+# pairs that a group may give at first, by its rows
+PAIRS_PER_ROW = 4
+# pairs a task remembers having given
+REMEMBERED_PAIRS = 200_000
 # a block is frequent if it occurs this often, or in one of so many documents
 FREQUENT, FREQUENT_SHARE = 16, 5_000
 
@@ -143,10 +151,21 @@ class _Blocks:
 def _shared_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted ``key, class`` to ``key, class, first`` for keys with two classes or more.
 
-    Streams: of a group only its first class and the last row are held.
+    Of two classes only the second is given, without the key: the pair is all there
+    is to test. A pair is given without its key once per task as a rule. Streams: of
+    a group only two classes and the last one are held.
     """
-    key = first = last = None
-    started = False
+    key = first = second = last = None
+    given: set[tuple] = set()
+
+    def pair(c: int) -> list[tuple]:
+        if (c, first) in given:
+            return []
+        if len(given) > REMEMBERED_PAIRS:
+            given.clear()
+        given.add((c, first))
+        return [(None, c, first)]
+
     for batch in batches:
         keys, names = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         # rows that stand alone in their key cost nothing here
@@ -156,12 +175,15 @@ def _shared_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         out = []
         for k, c in zip(keys[same].tolist(), names[same].tolist()):
             if k != key:
-                key, first, last, started = k, c, c, False
+                key, first, second, last = k, c, None, c
             elif c != last:
-                if not started:
-                    out.append((key, first, first))
-                    started = True
-                out.append((key, c, first))
+                out += pair(c)
+                if second is None:
+                    second = c
+                else:
+                    if last == second:
+                        out += [(key, first, first), (key, second, first)]
+                    out.append((key, c, first))
                 last = c
         yield pa.RecordBatch.from_arrays(
             [pa.array(v, type=pa.int64()) for v in (zip(*out) if out else ((), (), ()))],
@@ -170,52 +192,87 @@ def _shared_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted ``key, class, label, first`` to ``large, a, b``.
+    """Sorted ``key, class, label`` to ``large, a, b``, for groups of several labels.
 
-    Of a group of several labels: if it is small, its pairs across labels; if large,
-    one row per class that ties it to the group's first class.
+    Of a small one its pairs of classes across labels, of a large one its key and
+    number of rows. Streams: no more than a batch and a small group are held.
     """
-    group, key, wide = [], None, False
+    held: list[np.ndarray] = [np.empty(0, np.int64)] * 3  # the rows of a group that may go on
+    more = 0  # rows of it that are counted but not held
 
-    def close() -> list[tuple]:
-        if wide or len({label for _, label, _ in group}) < 2:
-            return []
+    def close(names, labels, rows) -> list[tuple]:
+        if rows > SMALL_GROUP:
+            return [(1, None, rows)]
         return [
             (0, min(a, b), max(a, b))
-            for i, (a, one, _) in enumerate(group)
-            for b, other, _ in group[:i]
+            for i, (a, one) in enumerate(zip(names, labels))
+            for b, other in zip(names[:i], labels[:i])
             if one != other
         ]
 
-    for batch in batches:
+    def groups(keys, names, labels, last_is_open: bool):
+        nonlocal held, more
         out = []
-        for k, c, label, first in zip(*(col.to_pylist() for col in batch.columns)):
-            if k != key:
-                out += close()
-                group, key, wide = [], k, False
-            if wide:
-                out.append((1, c, first))
-                continue
-            group.append((c, label, first))
-            if len(group) > SMALL_GROUP:
-                wide = True
-                out += [(1, c, first) for c, _, first in group]
-        yield batch_of(out, PAIRS)
-    yield batch_of(close(), PAIRS)
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, int)
+        ends = np.append(starts[1:], len(keys))
+        several = np.zeros(len(starts), bool)
+        if len(starts):
+            several = np.minimum.reduceat(labels, starts) != np.maximum.reduceat(labels, starts)
+        done = len(starts) - int(last_is_open and len(starts) > 0)
+        extra = more
+        for g in np.flatnonzero(several[:done]):
+            s, e = starts[g], ends[g]
+            rows = int(e - s) + (extra if g == 0 else 0)
+            found = close(names[s:e].tolist(), labels[s:e].tolist(), rows)
+            out += [(kind, int(keys[s]), b) if kind else (kind, a, b) for kind, a, b in found]
+        if done < len(starts):
+            s = starts[done]
+            kept = slice(s, s + SMALL_GROUP + 1)
+            own = [c[kept] for c in (keys, names, labels)]
+            over = max(0, len(keys) - s - SMALL_GROUP - 1)
+            if over and several[done]:
+                # one row of another label must stay to tell
+                other = s + int(np.argmax(labels[s:] != labels[s]))
+                own = [np.append(c[s : s + SMALL_GROUP], c[other]) for c in (keys, names, labels)]
+            held, more = own, over + (extra if done == 0 else 0)
+        else:
+            held, more = [np.empty(0, np.int64)] * 3, 0
+        return out
+
+    for batch in batches:
+        if batch.num_rows:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            yield batch_of(groups(*(np.concatenate(p) for p in zip(held, columns)), True), PAIRS)
+    yield batch_of(groups(*held, False), PAIRS)
 
 
 PAIRS = arrow_schema("large int, a long, b long")
 
 
-def _compare_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by piece pair; pairs of classes of other labels that the sketches let pass."""
+class _ComparePieces:
+    """Rows sorted by piece pair to ``large, a, b``: pairs of classes across labels that the
+    sketches let pass.
 
-    def rows() -> Iterator[tuple]:
-        for batch in batches:
-            yield from zip(*(c.to_pylist() for c in batch.columns))
+    If those are many more than the rows, each label gives its most similar pair only, and
+    the key is given with ``large = 1``: its labels must be looked at again. With ``every``
+    all pairs are given.
+    """
 
-    for (_, low, high), unit in groupby(rows(), key=lambda r: r[:3]):
-        members = list(unit)  # two pieces at most
+    def __init__(self, every: bool):
+        self.every = every
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[tuple] = set()  # most repeats go here, the others when pairs meet
+        for unit in _units(batches):
+            found = self._pairs(unit)
+            if len(given) > REMEMBERED_PAIRS:
+                given.clear()
+            out = [pair for pair in dict.fromkeys(found) if pair not in given]
+            given.update(out)
+            yield batch_of(out, PAIRS)
+
+    def _pairs(self, members: list[tuple]) -> list[tuple]:
+        key, low, high = members[0][:3]
         left = [m for m in members if m[3] == low]
         right = left if low == high else [m for m in members if m[3] == high]
         by_length: dict[int, list[tuple]] = {}
@@ -230,13 +287,34 @@ def _compare_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             )
             for same in by_length.values()
         ]
-        out = []
+        best: dict[int, tuple] = {}
+        pairs, most = [], len(members) * PAIRS_PER_ROW
         for _, _, _, _, name, label, size, sketch in left:
             own = np.frombuffer(sketch, np.uint8)
             for names, labels, sizes, sketches in packed:
-                near = (labels != label) & may_link(size, own, sizes, sketches)
-                out += [(0, min(name, o), max(name, o)) for o in names[near].tolist()]
-        yield batch_of(out, PAIRS)
+                at = np.flatnonzero(labels != label)
+                if not len(at):
+                    continue
+                room = slack(size, own, sizes[at], sketches[at])
+                top = int(room.argmax())
+                if room[top] > best.get(label, (-1.0,))[0]:
+                    best[label] = (float(room[top]), name, int(names[at[top]]))
+                if self.every or len(pairs) <= most:
+                    pairs += [(0, min(name, o), max(name, o)) for o in names[at[room >= 0]].tolist()]
+        if self.every or len(pairs) <= most:
+            return pairs
+        return [(0, min(a, b), max(a, b)) for _, a, b in best.values()] + [(1, key, 0)]
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of one piece pair at a time: two pieces at most."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(c.to_pylist() for c in batch.columns))
+
+    for _, unit in groupby(rows(), key=lambda r: r[:3]):
+        yield list(unit)
 
 
 class JaccardJoin:
@@ -258,7 +336,7 @@ class JaccardJoin:
         self.survey = survey
 
     def shared_blocks(self) -> DataFrame:
-        """``key, class, first``: chosen blocks that two classes or more have."""
+        """``key, class, first`` of chosen blocks that several classes have; see ``_shared_blocks``."""
         documents = self.members.count()
         limit = max(FREQUENT, documents // FREQUENT_SHARE)
         # at most as many as blocks of FREQUENT_SHARE documents, whatever the corpus
@@ -340,67 +418,53 @@ class JaccardJoin:
         )
         return named.join(chosen.where(F.col("doc_id").isNull()).select("class"), "class", "left_semi")
 
-    def open_pairs(self, blocks: DataFrame, labels: DataFrame) -> DataFrame:
-        """``a, b``: what is left to test once components are known."""
-        labelled = blocks.join(
-            labels.select(F.col("node").alias("class"), F.col("component").alias("label")), "class", "left"
-        ).withColumn("label", F.coalesce("label", "class"))
-        several = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-        several = several.where("least <> most").select("key")
+    def labelled(self, blocks: DataFrame, labels: DataFrame) -> DataFrame:
+        """``key, class, label`` of the keys that more than two classes have."""
+        own = labels.select(F.col("node").alias("class"), F.col("component").alias("label"))
+        kept = blocks.where(F.col("key").isNotNull()).select("key", "class")
+        joined = kept.join(broadcast_if_small(own), "class", "left")
+        return joined.select("key", "class", F.coalesce("label", "class").alias("label"))
+
+    def open_groups(self, labelled: DataFrame) -> DataFrame:
+        """Small groups' pairs and large groups' keys and rows, see ``_open_groups``."""
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        open_rows = labelled.join(several, "key", "left_semi")
-        found = stored(
-            open_rows.select("key", "class", "label", "first")
-            .repartition(parts, "key")
+        found = (
+            labelled.repartition(parts, "key")
             .sortWithinPartitions("key", "class")
             .mapInArrow(_open_groups, "large int, a long, b long")
-            .distinct(),
-            "open",
-        )
-        small = self.sketched(found.where("large = 0").select("a", "b"))
-        large = found.where("large = 1").select("a", "b")
-        return small.unionByName(self._within_clusters(large, labels)) if large.limit(1).count() else small
-
-    def _within_clusters(self, ties: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs across labels inside the clusters that ``ties(a, b)`` make."""
-        clusters = components(ties).toDF("class", "cluster")
-        members = (
-            clusters.join(labels.toDF("class", "label"), "class", "left")
-            .join(self.sketches.select("class", "n", "sketch"), "class")
-            .withColumn("label", F.coalesce("label", "class"))
-        )
-        # members of one component first, then by size, so that pieces are alike
-        order = Window.partitionBy("cluster").orderBy("label", "n", "class")
-        before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
-        ranked = members.select("cluster", "class", "label", "n", F.coalesce(before, F.lit(0)).alias("before"))
-        pieces = stored(
-            ranked.withColumn("piece", F.floor(F.col("before") / PIECE_SHINGLES).cast("long")).drop("before"), "pieces"
         )
-        spans = pieces.groupBy("cluster", "piece").agg(
-            F.min("label").alias("from_label"),
-            F.max("label").alias("to_label"),
-            F.min("n").alias("least"),
-            F.max("n").alias("most"),
-        )
-        low = spans.toDF("cluster", "low", "from_a", "to_a", "least_a", "most_a")
-        high = spans.toDF("cluster", "high", "from_b", "to_b", "least_b", "most_b")
-        one_label = (F.col("from_a") == F.col("to_b")) & (F.col("to_a") == F.col("from_b"))
-        fits = (4 * F.col("most_a") >= 3 * F.col("least_b")) & (4 * F.col("most_b") >= 3 * F.col("least_a"))
-        units = low.join(high, "cluster").where((F.col("low") <= F.col("high")) & ~one_label & fits)
-        units = stored(units.select("cluster", "low", "high"), "units")
-        placed = units.select(
-            "*", F.explode(F.array_distinct(F.array("low", "high"))).alias("piece")
-        ).join(pieces, ["cluster", "piece"])
+        return stored(found.distinct(), "open")
+
+    def within_groups(self, labelled: DataFrame, large: DataFrame, every: bool) -> DataFrame:
+        """Pairs across labels of the ``large(key, rows)`` groups, see ``_ComparePieces``.
+
+        A group is cut into pieces, and every two pieces meet in one unit of work.
+        """
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        unit = ["cluster", "low", "high"]
-        return (
-            placed.join(self.sketches.select("class", "sketch"), "class")
-            .select(*unit, "piece", "class", "label", "n", "sketch")
+        count = F.ceil(F.col("rows") / PIECE_ROWS).cast("long")
+        meets = F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)
+        unit = ["key", "low", "high"]
+        found = (
+            labelled.join(broadcast_if_small(large), "key")
+            .withColumn("pieces", count)
+            .withColumn("piece", F.pmod(F.xxhash64("class"), "pieces"))
+            .join(self.sketches.select("class", "n", "sketch"), "class")
+            .withColumn("other", F.explode(meets))
+            .select(
+                "key",
+                F.least("piece", "other").alias("low"),
+                F.greatest("piece", "other").alias("high"),
+                "piece",
+                "class",
+                "label",
+                "n",
+                "sketch",
+            )
             .repartition(parts, *unit)
             .sortWithinPartitions(*unit)
-            .mapInArrow(_compare_pieces, "large int, a long, b long")
-            .select("a", "b")
+            .mapInArrow(_ComparePieces(every), "large int, a long, b long")
         )
+        return stored(found, "compared")
 
     def links(self) -> DataFrame:
         """Links between classes that hold the components together."""
@@ -408,10 +472,22 @@ class JaccardJoin:
         star = blocks.where(F.col("class") != F.col("first")).select(
             F.least("class", "first").alias("a"), F.greatest("class", "first").alias("b")
         )
-        first = self.verified(self.sketched(star.distinct()))
-        labels = components(first)
-        rest = self.verified(self.open_pairs(blocks, labels))
-        return first.unionByName(rest)
+        found = self.verified(self.sketched(star.distinct()))
+        labelled = self.labelled(blocks, components(found))
+        groups = self.open_groups(labelled)
+        pairs = self.sketched(groups.where("large = 0").select("a", "b"))
+        large = groups.where("large = 1").select(F.col("a").alias("key"), F.col("b").alias("rows"))
+        if not large.limit(1).count():
+            return found.unionByName(self.verified(pairs))
+        compared = self.within_groups(labelled, large, every=False)
+        found = found.unionByName(self.verified(pairs.unionByName(compared.where("large = 0").select("a", "b"))))
+        again = compared.where("large = 1").select(F.col("a").alias("key")).distinct()
+        if again.limit(1).count():
+            # most labels of these groups are one by now
+            labelled = self.labelled(blocks, components(found))
+            compared = self.within_groups(labelled, large.join(again, "key", "left_semi"), every=True)
+            found = found.unionByName(self.verified(compared.where("large = 0").select("a", "b")))
+        return found
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bioobs.llm.common import map_rows
-from bioobs.llm.words import IS_SPACE, span_hashes, window_hashes, word_bounds
+from bioobs.llm.words import span_hashes, window_hashes, word_bounds
 
 # the classifier's documented bound: labelled documents it learns from
 SAMPLE = 20_000
@@ -36,8 +36,7 @@ LEAST_COVERED = 4
 LEAST_PRECISION = 0.95
 
 SYMBOLS = "#*$%&|<>"
-_SYMBOL = np.zeros(256, bool)
-_SYMBOL[[ord(c) for c in SYMBOLS]] = True
+_SYMBOL = [ord(c) for c in SYMBOLS]
 _LINE_WORD = re.compile(r"[^\x20\x09-\x0D]")
 
 COUNTS = [
@@ -67,7 +66,7 @@ def text_counts(text: str | None) -> tuple[int, ...]:
     lines = [line for line in text.split("\n") if _LINE_WORD.search(line)]
     return (
         len(hashes),
-        len(raw) - int(by_byte[IS_SPACE].sum()) - later_bytes,
+        len(raw) - int(by_byte[9:14].sum() + by_byte[32]) - later_bytes,
         int(by_byte[_SYMBOL].sum()),
         len(lines) - len(set(lines)),
         repeated_words(hashes),

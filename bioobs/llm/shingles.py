@@ -24,7 +24,9 @@ def shingle_set(text: str | None) -> np.ndarray:
     hashes = word_hashes((text or "").encode().lower())
     if not len(hashes):
         return hashes
-    return np.unique(window_hashes(hashes, min(WORDS, len(hashes))))
+    found = window_hashes(hashes, min(WORDS, len(hashes)))
+    found.sort()
+    return found[np.concatenate([[True], found[1:] != found[:-1]])]
 
 
 def differences(size: int, grid: int) -> int:
@@ -33,18 +35,18 @@ def differences(size: int, grid: int) -> int:
     The difference of like sets is at most a seventh of their sizes' sum, and the
     other set has at most 4/3 of this size and fits the grid.
     """
-    return (size + min(4 * size // 3, (2 << grid) - 1)) // 7
+    return (size + min(4 * size // 3, (4 << 2 * grid) - 1)) // 7
 
 
 def block_count(grid: int) -> int:
-    """The sketch for sets of 2^grid to 2^(grid + 1) shingles has more blocks than they have shingles."""
-    return 1 << (grid + (2 if grid >= 6 else 5))
+    """The sketch for sets of 4^grid to 4^(grid + 1) shingles has more blocks than they have shingles."""
+    return 1 << (2 * grid + (3 if grid >= 3 else 6))
 
 
 def grids_of(size: int) -> list[int]:
     """The size band of a set, and the next one if sets from there can be like this one."""
-    own = size.bit_length() - 1
-    return [own, own + 1] if 4 * size >= 3 << (own + 1) else [own]
+    own = (size.bit_length() - 1) // 2
+    return [own, own + 1] if 4 * size >= 3 * (4 << 2 * own) else [own]
 
 
 def sketch_keys(values: np.ndarray, grid: int, plain: bool) -> np.ndarray:
@@ -90,13 +92,21 @@ def folded(sketch: np.ndarray, length: int) -> np.ndarray:
     return sketch
 
 
-def may_link(size: int, sketch: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> np.ndarray:
-    """Which of several sets can be 75 % like one set: their sizes fit and the bits that differ,
-    never more than the symmetric difference, are at most a seventh of the sizes' sum."""
+def slack(size: int, sketch: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    """How far several sets are from being ruled out as 75 % like one set, negative if they are.
+
+    Sizes must fit, and the bits that differ, never more than the symmetric difference,
+    may be a seventh of the sizes' sum. 1 is no bit that differs.
+    """
     length = min(sketch.shape[-1], sketches.shape[-1])
     apart = np.bitwise_count(folded(sketches, length) ^ folded(sketch, length)).sum(axis=-1, dtype=np.int64)
     low, high = np.minimum(sizes, size), np.maximum(sizes, size)
-    return (4 * low >= 3 * high) & (apart <= (low + high) // 7)
+    return np.where((4 * low >= 3 * high) & (7 * apart <= low + high), 1 - 7 * apart / (low + high), -1.0)
+
+
+def may_link(size: int, sketch: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    """Which of several sets can be 75 % like one set."""
+    return slack(size, sketch, sizes, sketches) >= 0
 
 
 def linked(one: np.ndarray, other: np.ndarray) -> bool:

@@ -1,8 +1,8 @@
 """Words of a text and their hashes, for whole texts at once.
 
 Words are runs of bytes other than space and 0x09-0x0D. A word hashes to the sum
-of t[byte] * B^j over its bytes modulo 2^64, taken from one prefix array, then
-mixed with its length; t holds fixed random odd numbers.
+of byte * B^j over its bytes modulo 2^64, taken from one prefix array, then mixed
+with its length.
 """
 
 from __future__ import annotations
@@ -10,11 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 BASE = 0xD6E8FEB86659FD93
-IS_SPACE = np.zeros(256, bool)
-IS_SPACE[list(SPACES)] = True
-_BYTES = np.random.RandomState(20_01).randint(0, 2**63, 256, dtype=np.int64).astype(np.uint64) * U(2) + U(1)
 
 
 def mixed(values: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -38,10 +34,15 @@ class _Powers:
             cls.down = np.concatenate([cls.down, cls.down * U(pow(BASE, -size, 2**64))])
 
 
+def is_space(raw: np.ndarray) -> np.ndarray:
+    """Space and 0x09-0x0D; what is below 9 wraps around to large numbers."""
+    return (raw == 32) | (raw - np.uint8(9) < 5)
+
+
 def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words, in bytes."""
     space = np.ones(len(raw) + 2, bool)
-    space[1:-1] = IS_SPACE[raw]
+    space[1:-1] = is_space(raw)
     edges = np.flatnonzero(space[1:] != space[:-1])
     return edges[::2], edges[1::2]
 
@@ -49,7 +50,7 @@ def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     _Powers.grow(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTES[raw] * _Powers.up[: len(raw)], out=sums[1:])
+    np.cumsum(raw * _Powers.up[: len(raw)], out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * _Powers.down[starts] + (ends - starts).astype(np.uint64))
 
 
