@@ -214,9 +214,10 @@ def train(pages: list[str]) -> Model:
 
 def labelled_pages(pages: DataFrame, id_column: str, html_column: str, sample: int = SAMPLE) -> list[str]:
     """At most ``sample`` pages with an ``article``, chosen by a hash of their ids."""
-    with_label = pages.where(F.instr(F.lower(html_column), "<article") > 0)
-    chosen = with_label.orderBy(F.xxhash64(id_column), id_column, html_column).limit(sample)
-    return [r[0] for r in chosen.select(html_column).collect()]
+    with_label = pages.where(F.instr(F.lower(html_column), "<article") > 0).select(id_column, html_column)
+    ids = with_label.select(id_column).distinct().orderBy(F.xxhash64(id_column), id_column).limit(sample)
+    chosen = with_label.join(F.broadcast(ids), with_label[id_column].eqNullSafe(ids[id_column]), "left_semi")
+    return [r[0] for r in chosen.select(html_column).distinct().limit(sample).collect()]
 
 
 def extract_pages(
