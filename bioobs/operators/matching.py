@@ -2,61 +2,45 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, functions as F
 
+from bioobs.operators.joins import broadcast_if_small
 from bioobs.operators.shape import named
 
-# Up to this many words become one pattern; longer lists are joined.
-PATTERN_WORDS = 500
-# Characters of a text in which words may start, per piece of a join.
+# Characters of a text in which words may start, per piece of the join.
 WINDOW = 256
 
 
-def match_any(df: DataFrame, text: str, words: DataFrame, word: str, key: str) -> DataFrame:
+def match_any(df: DataFrame, text: str, words: DataFrame, word: str) -> DataFrame:
     """Keep rows whose text contains at least one of the words, as a substring.
 
-    A short list becomes one alternation pattern, so nothing moves. A long list
-    is joined: each text gives its substrings of the lengths that occur in the
-    list, equal ones are met by an equi-join, and the keys found select the rows.
-    ``key`` must identify a row.
+    One path for lists of every length: a word gives one gram, as long as the
+    shortest word; texts give their grams of that length; equal grams meet by an
+    equi-join and ``contains`` decides. The join works on distinct texts and selects
+    rows by their text, so rows need no key, and repeated rows each stay. A missing
+    text or word, and an empty word, match nothing.
     """
     wanted = words.select(named(word).alias("__w")).where("length(__w) > 0").distinct()
-    head = [r[0] for r in wanted.limit(PATTERN_WORDS + 1).collect()]
-    if not head:
+    size = wanted.agg(F.min(F.length("__w")).alias("low"), F.max(F.length("__w")).alias("high")).first()
+    if size.low is None:
         return df.where(F.lit(False))
-    if len(head) <= PATTERN_WORDS:
-        pattern = "|".join(re.escape(w) for w in sorted(head))
-        return df.where(named(text).rlike(pattern))
-    return match_any_joined(df, text, words, word, key)
 
+    def grams(value):
+        starts = F.sequence(F.lit(1), F.length(value) - size.low + 1)
+        return F.transform(starts, lambda i: F.substring(value, i, F.lit(size.low)))
 
-def match_any_joined(df: DataFrame, text: str, words: DataFrame, word: str, key: str) -> DataFrame:
-    wanted = words.select(named(word).alias("__w")).where("length(__w) > 0")
-    # the few word lengths that occur, not the words
-    sizes = wanted.agg(F.sort_array(F.collect_set(F.length("__w")))).first()[0]
-    if not sizes:
-        return df.where(F.lit(False))
+    # of a word's grams the one with the smallest hash: a common beginning is not everybody's gram
+    spread = F.transform(grams(F.col("__w")), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g")))
+    listed = wanted.select("__w", F.array_min(spread)["g"].alias("__g"))
 
     # Cut a text into windows first: finding a position in a long text takes time
     # in proportion to the position. Windows overlap by the longest word.
     starts = F.sequence(F.lit(1), F.greatest(F.length("__text"), F.lit(1)), F.lit(WINDOW))
-    cut = F.transform(starts, lambda i: F.substring(F.col("__text"), i, F.lit(WINDOW + sizes[-1] - 1)))
-    windows = df.select(named(key).alias("__key"), named(text).alias("__text")).select(
-        "__key", F.explode(cut).alias("__part")
-    )
-
-    def of_size(size):
-        last = F.least(F.length("__part") - size + 1, F.lit(WINDOW))
-        return F.transform(
-            F.sequence(F.lit(1), last), lambda i: F.substring(F.col("__part"), i, size)
-        )
-
-    known = F.array(*[F.lit(n) for n in sizes])
-    fitting = F.filter(known, lambda n: n <= F.length("__part"))
-    pieces = windows.select(
-        "__key", F.explode(F.array_distinct(F.flatten(F.transform(fitting, of_size)))).alias("__w")
-    )
-    hits = pieces.join(wanted.distinct(), "__w", "left_semi").select("__key").distinct()
-    return df.join(hits, named(key) == F.col("__key"), "left_semi")
+    cut = F.transform(starts, lambda i: F.substring(F.col("__text"), i, F.lit(WINDOW + size.high - 1)))
+    texts = df.select(named(text).alias("__text")).where(F.length("__text") >= size.low).distinct()
+    windows = texts.select(F.md5("__text").alias("__id"), F.explode(cut).alias("__part"))
+    long_enough = windows.where(F.length("__part") >= size.low)
+    pieces = long_enough.select("__id", "__part", F.explode(F.array_distinct(grams(F.col("__part")))).alias("__g"))
+    met = pieces.join(broadcast_if_small(listed), "__g").where(F.col("__part").contains(F.col("__w")))
+    hits = met.select("__id").distinct()
+    return df.join(hits, F.md5(named(text)) == F.col("__id"), "left_semi")

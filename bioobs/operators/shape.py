@@ -74,7 +74,7 @@ def pivot_longer(
     if names_prefix:
         cut = F.when(
             named(names_to).startswith(names_prefix),
-            F.substring(named(names_to), len(names_prefix) + 1, 1_000_000),
+            F.substring(named(names_to), F.lit(len(names_prefix) + 1), F.length(named(names_to))),
         ).otherwise(named(names_to))
         long = long.withColumn(names_to, cut)
     return long

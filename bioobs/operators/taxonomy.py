@@ -29,7 +29,7 @@ def classify(candidates: DataFrame, backbone: DataFrame, max_depth: int = 8) ->
 
     The climb joins only the upper part of the tree, which is broadcast when its
     checked size allows. A chain longer than ``max_depth`` fails the query rather
-    than being cut.
+    than being cut, and so does a parent that the backbone lacks.
     """
     taxon = F.struct("rank", "name")
     upper = broadcast_if_small(inner_taxa(backbone).select("taxon_id", "parent_id", "rank", "name"))
@@ -43,9 +43,11 @@ def classify(candidates: DataFrame, backbone: DataFrame, max_depth: int = 8) ->
         step = upper.select(
             F.col("taxon_id").alias("__id"), F.col("parent_id").alias("__up"), taxon.alias("__taxon")
         )
+        unknown = F.col("__next").isNotNull() & F.col("__id").isNull()
+        message = F.concat(F.lit("unknown parent taxon "), F.col("__next").cast("string"))
         chain = chain.join(step, F.col("__next") == F.col("__id"), "left").select(
             "query",
-            F.col("__up").alias("__next"),
+            F.when(unknown, F.raise_error(message).cast("long")).otherwise(F.col("__up")).alias("__next"),
             F.when(
                 F.col("__taxon").isNotNull(), F.concat("__chain", F.array("__taxon"))
             ).otherwise(F.col("__chain")).alias("__chain"),

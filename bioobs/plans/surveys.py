@@ -172,7 +172,7 @@ def stream_locations(
     """
     names = survey.select(F.col("Stream").alias("w")).where("w is not null").distinct()
     parts = {
-        "Stream": match_any(words, "text", names, "w", order),
+        "Stream": match_any(words, "text", names, "w"),
         "easting": words.where(F.col("text").endswith("E,")),
         "northing": words.where(F.col("text").endswith("N")),
     }

@@ -39,16 +39,18 @@ def scan_data_files(spark: SparkSession, path: str, schema: T.StructType | None
 
 
 def read_csv(
-    spark: SparkSession, path: str, types: Mapping[str, str] | None = None, position: bool = False
+    spark: SparkSession, path: str, types: Mapping[str, str] | None = None, position: bool = False, multi_line: bool = False
 ) -> DataFrame:
     """CSV with a header: cleaned names, ``NA`` and blanks missing, bad values NULL.
 
     Names come from the header line; nothing is inferred from the data. Several
     files must have the same header, which is checked. ``types`` maps cleaned
     names to Spark types, other columns stay text. ``position`` adds the order
-    columns ``fill_down`` needs.
+    columns ``fill_down`` needs. Quotes inside a quoted field are doubled.
+    ``multi_line`` allows line breaks inside quotes; each file is then one task.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False).option("nullValue", "NA")
+    reader = reader.option("escape", '"').option("multiLine", multi_line)
     trimmed = reader.option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
     raw = trimmed.csv(path)
     if position:

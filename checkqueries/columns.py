@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from bioobs.functions import text, values
-from bioobs.operators.matching import match_any, match_any_joined
+from bioobs.operators.matching import match_any
 from bioobs.operators.ordering import latest_snapshot
 from bioobs.operators.predicates import And, DEFAULT_QUALITY, Within
 from bioobs.operators.shape import (
@@ -215,7 +215,7 @@ WHERE EXISTS (SELECT 1 FROM part WHERE contains(documents.text, split_part(p_nam
 """)
 def q_match_any(spark, d):
     words = table(spark, d, "part").select(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("w"))
-    return match_any(table(spark, d, "documents"), "text", words, "w", "doc_id").select("doc_id", "lang")
+    return match_any(table(spark, d, "documents"), "text", words, "w").select("doc_id", "lang")
 
 
 @check("q_match_any_long_list", """
@@ -225,7 +225,7 @@ SELECT page_id, url FROM pages WHERE EXISTS (SELECT 1 FROM w WHERE length(w) > 5
 def q_match_any_long_list(spark, d):
     words = table(spark, d, "documents").select(F.explode(F.split(F.lower("text"), " ")).alias("w"))
     long_words = words.where(F.length("w") > 5)
-    return match_any_joined(table(spark, d, "pages"), "url", long_words, "w", "page_id").select("page_id", "url")
+    return match_any(table(spark, d, "pages"), "url", long_words, "w").select("page_id", "url")
 
 
 @check("q_suffix", """
@@ -378,3 +378,15 @@ def q_rebase_year(spark, d):
     year = 1997 + F.col("o_orderkey") % 2
     rows = table(spark, d, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
     return rows.select("o_orderkey", values.rebase_year("day", year).cast("string").alias("moved"))
+
+
+@check("q_match_any_repeated_keys", """
+SELECT CASE WHEN page_id % 3 = 0 THEN NULL ELSE page_id % 5 END AS k, url FROM pages
+WHERE regexp_matches(url, 'pills|casino|/es/')
+""")
+def q_match_any_repeated_keys(spark, d):
+    pages = table(spark, d, "pages").select(F.when(F.col("page_id") % 3 != 0, F.col("page_id") % 5).alias("k"), "url")
+    short = spark.createDataFrame([("pills",), ("casino",), ("/es/",), (None,), ("",)], "w string")
+    # words that no url holds make the list long
+    filled = short.unionByName(spark.range(2_000).select(F.concat(F.lit("?!"), F.col("id")).alias("w")))
+    return match_any(pages, "url", filled, "w")

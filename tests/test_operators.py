@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F, types as T
 
 from bioobs.operators.joins import broadcast_if_small, expect_unique, impute_max, natural_join, recycle
-from bioobs.operators.matching import match_any, match_any_joined
+from bioobs.operators.matching import match_any
 from bioobs.operators.ordering import (
     BLOCK,
     FILE_ORDER,
@@ -151,9 +151,8 @@ def test_first_per_group(spark):
 def test_match_any_is_literal_substring(spark):
     df = spark.createDataFrame([(1, "Nes19d E"), (2, "Foo.R"), (3, "FooxR"), (4, None), (5, "")], "id int, t string")
     words = spark.createDataFrame([("Nes19",), ("o.R",), (None,), ("",)], "w string")
-    assert rows(match_any(df, "t", words, "w", "id").select("id")) == [(1,), (2,)]
-    assert rows(match_any_joined(df, "t", words, "w", "id").select("id")) == [(1,), (2,)]
-    assert match_any(df, "t", words.where("w = 'none'"), "w", "id").count() == 0
+    assert rows(match_any(df, "t", words, "w").select("id")) == [(1,), (2,)]
+    assert match_any(df, "t", words.where("w = 'none'"), "w").count() == 0
 
 
 def test_match_any_long_list_agrees_with_brute_force(spark):
@@ -163,7 +162,7 @@ def test_match_any_long_list_agrees_with_brute_force(spark):
     texts += [(1000 + at, "ddddd" * (at // 5) + "d" * (at % 5) + "abcdé" + "d" * (at % 7)) for at in range(240, 530)]
     words = ["".join(random.choice("abc") for _ in range(random.randint(4, 9))) for _ in range(900)] + ["abcdé"]
     df = spark.createDataFrame(texts, "id int, t string")
-    got = match_any(df, "t", spark.createDataFrame([(w,) for w in words], "w string"), "w", "id")
+    got = match_any(df, "t", spark.createDataFrame([(w,) for w in words], "w string"), "w")
     assert rows(got) == sorted([x for x in texts if any(w in x[1] for w in words)], key=str)
 
 
@@ -190,3 +189,22 @@ def test_classification(spark):
     extra = spark.createDataFrame([("GULL", "Larus spp.")], "code string, scientific_name string")
     full = species_with_ranks(species, candidates, backbone(spark), extra)
     assert rows(full.select("code", "class", "species")) == [("GULL", "Aves", None), ("a", "Aves", "Larus canus"), ("b", None, None)]
+
+
+def test_match_any_needs_no_key(spark):
+    df = spark.createDataFrame([(1, "has abc"), (1, "nothing"), (None, "abc too"), (1, "has abc"), (2, None)], "id int, t string")
+    words = spark.createDataFrame([("abc",), (None,)], "w string")
+    long = words.unionByName(spark.range(700).select(F.concat(F.lit("zz"), "id").alias("w")))
+    for each in (words, long):
+        assert sorted(match_any(df, "t", each, "w").collect(), key=str) == sorted(
+            [(1, "has abc"), (1, "has abc"), (None, "abc too")], key=str
+        )
+
+
+def test_classify_fails_on_an_unknown_parent(spark):
+    taxa = spark.createDataFrame(
+        [(1, 99, "genus", "G"), (2, 1, "species", "S")], "taxon_id long, parent_id long, rank string, name string"
+    )
+    found = spark.createDataFrame([("q", 1, 2)], "query string, candidate_rank int, taxon_id long")
+    with pytest.raises(PySparkException, match="unknown parent"):
+        classify(found, taxa).collect()

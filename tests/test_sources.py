@@ -85,3 +85,9 @@ def test_write_table_overwrites(spark, tmp_path):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_folder(spark, "x") != shared_folder(spark, "x")
+
+
+def test_csv_quotes(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('Name,V\n"a ""b"", c",1\n"two\nlines",2\n')
+    got = read_csv(spark, str(tmp_path / "q.csv"), {"v": "int"}, multi_line=True).collect()
+    assert [tuple(r) for r in got] == [('a "b", c', 1), ("two\nlines", 2)]
