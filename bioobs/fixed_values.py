@@ -89,3 +89,8 @@ CENSUS_AREA_HA = 40.0
 REQUEST_STATUS = "SUCCEEDED"
 REQUEST_SOURCE = "rgbif"
 REUSE_DAYS = 30
+
+# fixed values: points and sites that the long census leaves out
+LEFT_OUT_POINT = "edge pt"
+LEFT_OUT_NAMES = "omit"
+LEFT_OUT_NUMBER = "44a"

@@ -63,14 +63,13 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "left") -> DataFr
 
 
 def expect_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key combination, or the query fails when it runs."""
-    counts = df.groupBy(*[named(k) for k in keys]).agg(
-        F.count("*").alias("__n"), F.first(F.struct(*[named(c) for c in df.columns])).alias("__r")
-    )
-    checked = F.when(F.col("__n") == 1, F.col("__r")).otherwise(
-        F.raise_error(F.lit(f"duplicate key in {list(keys)}"))
-    )
-    return counts.select(checked.alias("__r")).select("__r.*")
+    """The same rows in place, or the query fails when it runs if a key repeats.
+
+    Only keys are counted; rows do not move. Missing keys equal each other.
+    """
+    repeated = df.groupBy(*[named(k) for k in keys]).count().where("count > 1").agg(F.count("*")).scalar()
+    message = F.lit(f"duplicate key in {list(keys)}")
+    return df.where(F.when(repeated == 0, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def recycle(df: DataFrame, single: DataFrame) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, functions as F
 
 from bioobs.operators.joins import broadcast_if_small
 from bioobs.operators.shape import named
 
+# A list of up to this many words travels with the plan; the rows are the same either way.
+CARRIED_WORDS = 500
 # Characters of a text in which words may start, per piece of the join.
 WINDOW = 256
 
@@ -14,16 +18,19 @@ WINDOW = 256
 def match_any(df: DataFrame, text: str, words: DataFrame, word: str) -> DataFrame:
     """Keep rows whose text contains at least one of the words, as a substring.
 
-    One path for lists of every length: a word gives one gram, as long as the
-    shortest word; texts give their grams of that length; equal grams meet by an
-    equi-join and ``contains`` decides. The join works on distinct texts and selects
-    rows by their text, so rows need no key, and repeated rows each stay. A missing
-    text or word, and an empty word, match nothing.
+    A short list, its size checked, becomes one pattern of literals and nothing moves.
+    Of a longer one each word gives one gram, as long as the shortest word; texts give
+    their grams of that length; equal grams meet by an equi-join and ``contains``
+    decides. The join works on distinct texts and selects rows by their text, so
+    rows need no key, and repeated rows each stay, as they do with a short list. A
+    missing text or word, and an empty word, match nothing.
     """
     wanted = words.select(named(word).alias("__w")).where("length(__w) > 0").distinct()
+    few = [r[0] for r in wanted.limit(CARRIED_WORDS + 1).collect()]
+    if len(few) <= CARRIED_WORDS:
+        pattern = "|".join(re.escape(w) for w in sorted(few))
+        return df.where(named(text).rlike(pattern) if few else F.lit(False))
     size = wanted.agg(F.min(F.length("__w")).alias("low"), F.max(F.length("__w")).alias("high")).first()
-    if size.low is None:
-        return df.where(F.lit(False))
 
     def grams(value):
         starts = F.sequence(F.lit(1), F.length(value) - size.low + 1)

@@ -109,7 +109,10 @@ def split_site_code(column: str, letter_first: bool) -> dict:
 
 
 def long_census(
-    census: DataFrame, order: Mapping = FILE_ORDER, fixes: Mapping = V.SPECIES_CODE_FIXES
+    census: DataFrame,
+    order: Mapping = FILE_ORDER,
+    fixes: Mapping = V.SPECIES_CODE_FIXES,
+    left_out_point: str = V.LEFT_OUT_POINT,
 ) -> DataFrame:
     """A census with gaps in its dates and one column of counts per year, as rows."""
     dated = fill_down(census, ["date"], order["chunk"], order["order"])
@@ -122,7 +125,7 @@ def long_census(
     return (
         long.withColumn("date", values.rebase_year("date", values.as_numeric("year") + 1900))
         .drop("year")
-        .where("point_number != 'edge pt'")
+        .where(F.col("point_number") != left_out_point)
         .withColumns(split_site_code("point_number", letter_first=False))
         .withColumn("species", values.replace_values("species", fixes))
     )
@@ -136,13 +139,16 @@ def long_census_observations(
     order: Mapping = FILE_ORDER,
     fixes: Mapping = V.SPECIES_CODE_FIXES,
     position_error: float = V.GPS_ERROR_M,
+    left_out_point: str = V.LEFT_OUT_POINT,
+    left_out_names: str = V.LEFT_OUT_NAMES,
+    left_out_number: str = V.LEFT_OUT_NUMBER,
 ) -> DataFrame:
     """Counts at point sites named by letter and number."""
-    taxa = natural_join(long_census(census, order, fixes).withColumnRenamed("species", "code"), species)
+    taxa = natural_join(long_census(census, order, fixes, left_out_point).withColumnRenamed("species", "code"), species)
     places = (
-        _located(sites.where(text.detect("name", "omit", negate=True)))
+        _located(sites.where(text.detect("name", left_out_names, negate=True)))
         .withColumns(split_site_code("name", letter_first=True))
-        .where("site_number != '44a'")
+        .where(F.col("site_number") != left_out_number)
         .drop("name")
     )
     return _count_observations(natural_join(places, taxa), dataset, position_error)

@@ -303,7 +303,7 @@ def q_harmonise_long(spark, d):
     nation = F.col("n_nationkey")
     name = F.when(nation == 3, "n3 omit").when(nation == 5, "n44a").otherwise(F.concat(F.lit("n"), nation))
     done = long_census_observations(
-        with_key_chunk(census, "event_id", 1000),
+        with_key_chunk(census, "event_id"),
         _nation_points(spark, d, name),
         _event_species(spark, d),
         {**CHECK_DATASET, "observation_type": "abundance"},

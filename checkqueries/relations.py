@@ -218,7 +218,7 @@ def q_fill_down(spark, d):
         F.when(F.col("event_id") % 9 == 4, F.col("value")).alias("v"),
         F.when(F.col("event_id") % 1500 == 11, F.col("event_type")).alias("k"),
     )
-    return fill_down(with_key_chunk(rows, "event_id", 1000), ["v", "k"], [BLOCK], "event_id").drop(BLOCK)
+    return fill_down(with_key_chunk(rows, "event_id"), ["v", "k"], [BLOCK], "event_id").drop(BLOCK)
 
 
 @check("q_first_per_group", """
