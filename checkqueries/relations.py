@@ -317,6 +317,33 @@ def q_taxon_chain(spark, d):
     return classify(candidates(spark, d), backbone(spark, d))
 
 
+DEEP_SQL = """
+SELECT c_custkey AS taxon_id, CASE WHEN c_custkey > 1 THEN c_custkey // 2 END AS parent_id, c_mktsegment AS rank, c_name AS name
+FROM customer
+"""
+
+
+@check("q_taxon_deep", f"""
+WITH RECURSIVE b AS ({DEEP_SQL}), walk AS (
+  SELECT o_orderkey AS query, o_custkey AS id FROM orders
+  UNION ALL SELECT query, parent_id FROM walk JOIN b ON taxon_id = id WHERE parent_id IS NOT NULL)
+SELECT query, rank, name FROM walk JOIN b ON taxon_id = id
+""")
+def q_taxon_deep(spark, d):
+    """Every order climbs from its customer, in a tree that deepens with the table."""
+    key = F.col("c_custkey")
+    tree = table(spark, d, "customer").select(
+        key.alias("taxon_id"),
+        F.when(key > 1, F.floor(key / 2)).alias("parent_id"),
+        F.col("c_mktsegment").alias("rank"),
+        F.col("c_name").alias("name"),
+    )
+    meant = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("query"), F.lit(1).alias("candidate_rank"), F.col("o_custkey").alias("taxon_id")
+    )
+    return classify(meant, tree)
+
+
 @check("q_taxon_wide", """
 SELECT c_name AS query, r_name AS kingdom, n_name AS phylum, c_name AS class, NULL::VARCHAR AS "order", NULL::VARCHAR AS family, NULL::VARCHAR AS genus, NULL::VARCHAR AS species
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey

@@ -183,8 +183,6 @@ def test_classification(spark):
         ("class", "Aves"), ("genus", "Larus"), ("kingdom", "Animalia"), ("phylum", "Chordata")]
     wide = {r["query"]: r for r in ranks_wide(long).collect()}
     assert wide["Larus canus"]["species"] == "Larus canus" and wide["Larus spp."]["species"] is None
-    with pytest.raises(PySparkException, match="deeper"):
-        classify(candidates, backbone(spark), max_depth=2).collect()
     species = spark.createDataFrame([("a", "Larus canus"), ("b", "nobody")], "code string, scientific_name string")
     extra = spark.createDataFrame([("GULL", "Larus spp.")], "code string, scientific_name string")
     full = species_with_ranks(species, candidates, backbone(spark), extra)
@@ -208,3 +206,15 @@ def test_classify_fails_on_an_unknown_parent(spark):
     found = spark.createDataFrame([("q", 1, 2)], "query string, candidate_rank int, taxon_id long")
     with pytest.raises(PySparkException, match="unknown parent"):
         classify(found, taxa).collect()
+
+
+def test_classify_any_depth_and_only_its_own_faults(spark):
+    taxa = [(i, i - 1 if i > 1 else None, f"r{i}", f"n{i}") for i in range(1, 41)]
+    taxa += [(50, 51, "a", "A"), (51, 52, "b", "B"), (52, 51, "c", "C"), (60, 60, "d", "D")]
+    tree = spark.createDataFrame(taxa, "taxon_id long, parent_id long, rank string, name string")
+    asked = lambda *ids: spark.createDataFrame([(f"q{i}", 1, i) for i in ids], "query string, candidate_rank int, taxon_id long")
+    got = rows(classify(asked(40, 1), tree))
+    assert got == sorted([("q1", "r1", "n1")] + [("q40", f"r{i}", f"n{i}") for i in range(1, 41)], key=str)
+    for cyclic in (50, 51, 60):
+        with pytest.raises(PySparkException, match="cycle"):
+            classify(asked(cyclic), tree).collect()
