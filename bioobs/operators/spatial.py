@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from bioobs.functions.projection import PROJECTIONS
 from bioobs.functions.rings import crosses_right, on_segment, ring_edges
@@ -27,7 +27,6 @@ from bioobs.operators.shape import named
 
 # The cell table is copied to every executor up to this size, bounded beforehand.
 BROADCAST_BYTES = 256 * 1024 * 1024
-MAX_SIDE = 512
 # Part of a cell by which a clipped edge is widened, far above any rounding.
 SLACK = 0.05
 
@@ -83,16 +82,22 @@ def expecting_srid(polygons: DataFrame, srid: int) -> DataFrame:
 
 
 def edges(polygons: DataFrame, polygon_id: str = "polygon_id") -> DataFrame:
-    """One row per polygon side: ``pid, x1, y1, x2, y2``."""
+    """One row per polygon side: ``pid, x1, y1, x2, y2``.
+
+    A long outline is one row of the boundary; its sides are dealt over all tasks.
+    """
     rings = polygons.select(named(polygon_id).alias("pid"), F.explode("rings").alias("ring"))
     sides = rings.select("pid", F.explode(ring_edges(F.col("ring"))).alias("e"))
-    return sides.select(
+    plain = sides.select(
         "pid",
         F.col("e.a.x").alias("x1"),
         F.col("e.a.y").alias("y1"),
         F.col("e.b.x").alias("x2"),
         F.col("e.b.y").alias("y2"),
     )
+    # a stated number: adaptive execution would merge so few bytes, and their many cells, into one task
+    tasks = polygons.sparkSession.sparkContext.defaultParallelism
+    return plain.repartition(tasks, "x1", "y1", "x2", "y2")
 
 
 def fit_grid(sides: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Grid | None:
@@ -127,12 +132,19 @@ def fit_grid(sides: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Grid |
     if not total.n:
         return None
     corner = (total.left, total.low, total.right, total.top)
-    grid = Grid(*corner, max(16, min(MAX_SIDE, int(2 * total.n**0.5))))
-    w, h = grid.width, grid.height
-    # upper bounds: a polygon's box in cells, and a side's cells as ``cell_tests`` spreads it
-    cells = total.area / (w * h) + 2 * (total.wide / w + total.tall / h) + 4 * total.polygons
-    entries = 2 * total.dx / w + 2 * total.dy / h + 4 * total.n
-    return replace(grid, small=cells * 64 + entries * 48 <= broadcast_bytes)
+    finest = max(16, int(2 * total.n**0.5))
+
+    def fitted(side: int) -> Grid:
+        grid = Grid(*corner, side)
+        w, h = grid.width, grid.height
+        # upper bounds: a polygon's box in cells, and the cells that its sides pass near
+        cells = total.area / (w * h) + 2 * (total.wide / w + total.tall / h) + 4 * total.polygons
+        entries = 2 * total.dx / w + 2 * total.dy / h + 4 * total.n
+        return replace(grid, small=cells * 64 + entries * 48 <= broadcast_bytes)
+
+    # a jagged outline passes many cells: one up to four times coarser spares moving the points
+    options = [fitted(finest), fitted(max(16, finest // 2)), fitted(max(16, finest // 4))]
+    return next((g for g in options if g.small), options[0])
 
 
 def cell_tests(sides: DataFrame, grid: Grid) -> DataFrame:
@@ -166,7 +178,9 @@ def cell_tests(sides: DataFrame, grid: Grid) -> DataFrame:
         F.lit("edge").alias("kind"), "x1", "y1", "x2", "y2",
     )
 
-    # ends of edges right of a cell; equal pairs cancel before they are spread
+    # Ends of edges right of a cell flip its answer. An end matters where an odd
+    # number of edges right of the cell has it: from each odd one in order from the
+    # right, up to the next. Only these cells are ever listed.
     def end(y: str) -> Column:
         r = grid.row(F.col(y))
         return F.when(r > F.col("row"), F.lit(float("inf"))).when(r == F.col("row"), F.col(y))
@@ -176,12 +190,13 @@ def cell_tests(sides: DataFrame, grid: Grid) -> DataFrame:
         .select("pid", "row", "c0", F.explode(F.array(end("y1"), end("y2"))).alias("y"))
         .where(F.col("y").isNotNull())
     )
-    odd = lambda df, *keys: df.groupBy(*keys).agg(F.count("*").alias("n")).where("n % 2 = 1").drop("n")
-    spread = odd(ends, "pid", "row", "c0", "y").withColumn(
-        "cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("c0") - 1))
-    )
-    far = odd(spread, "pid", "row", "cell", "y").select(
-        "pid", "row", "cell",
+    once = ends.groupBy("pid", "row", "y", "c0").count().where("count % 2 = 1")
+    leftward = Window.partitionBy("pid", "row", "y").orderBy(F.col("c0").desc())
+    runs = once.withColumns(
+        {"turn": F.row_number().over(leftward), "stop": F.lead("c0", 1, 0).over(leftward)}
+    ).where("turn % 2 = 1")
+    far = runs.select(
+        "pid", "row", F.explode(F.sequence("stop", F.col("c0") - 1)).alias("cell"),
         F.when(F.col("y") == float("inf"), "above").otherwise("start").alias("kind"),
         F.lit(None).cast("double").alias("x1"), F.col("y").alias("y1"),
         F.lit(None).cast("double").alias("x2"), F.lit(None).cast("double").alias("y2"),
