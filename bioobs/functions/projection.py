@@ -29,10 +29,10 @@ def _powers(*coefficients: float) -> float:
     return sum(c * N3 ** (i + 1) for i, c in enumerate(coefficients))
 
 
-def _sine_series(angle: Column, terms: list[float]) -> Column:
+def _sine_series(angle, terms: list[float], m=F):
     total = angle
     for j, t in enumerate(terms, start=1):
-        total = total + F.lit(t) * F.sin(angle * (2 * j))
+        total = total + t * m.sin(angle * (2 * j))
     return total
 
 
@@ -185,16 +185,33 @@ class TransverseMercator:
         return self.x_0 + k * east, self.y_0 + k * north
 
     def inverse(self, x: ColumnOrName, y: ColumnOrName) -> tuple[Column, Column]:
+        return self._inverse(_col(x), _col(y), F)
+
+    def _inverse(self, x, y, m):
+        """The same formulas on columns (``m`` is ``F``) or numbers (``math``)."""
         k = self.scale * _RECTIFYING_RADIUS
-        north = (_col(y) - self.y_0) / k
-        east = (_col(x) - self.x_0) / k
+        north, east = (y - self.y_0) / k, (x - self.x_0) / k
         xi, eta = north, east
         for j, b in enumerate(_BETA, start=1):
-            xi = xi - b * F.sin(north * (2 * j)) * F.cosh(east * (2 * j))
-            eta = eta - b * F.cos(north * (2 * j)) * F.sinh(east * (2 * j))
-        conformal = F.asin(F.sin(xi) / F.cosh(eta))
-        lon = F.degrees(F.atan2(F.sinh(eta), F.cos(xi))) + self.lon_0
-        return lon, F.degrees(_sine_series(conformal, _FROM_CONFORMAL))
+            xi = xi - b * m.sin(north * (2 * j)) * m.cosh(east * (2 * j))
+            eta = eta - b * m.cos(north * (2 * j)) * m.sinh(east * (2 * j))
+        conformal = m.asin(m.sin(xi) / m.cosh(eta))
+        lon = m.degrees(m.atan2(m.sinh(eta), m.cos(xi))) + self.lon_0
+        return lon, m.degrees(_sine_series(conformal, _FROM_CONFORMAL, m))
+
+    def lon_lat_envelope(self, x_min, y_min, x_max, y_max) -> tuple[float, float, float, float]:
+        """Degrees that surely contain a box within 2,000 km of the central meridian.
+
+        Away from that meridian longitudes spread towards the poles and latitudes
+        fall towards the equator, so the extremes lie at corners or where the box
+        meets the meridian or the equator. Any other box gives the whole globe.
+        """
+        if max(abs(x_min - self.x_0), abs(x_max - self.x_0)) > 2e6 or max(abs(y_min - self.y_0), abs(y_max - self.y_0)) > 9e6:
+            return -360.0, -90.0, 360.0, 90.0
+        xs = (x_min, x_max, min(max(self.x_0, x_min), x_max))
+        ys = (y_min, y_max, min(max(self.y_0, y_min), y_max))
+        lons, lats = zip(*(self._inverse(x, y, math) for x in xs for y in ys))
+        return min(lons) - 1e-6, min(lats) - 1e-6, max(lons) + 1e-6, max(lats) + 1e-6
 
 
 UTM_10N = TransverseMercator(lon_0=-123.0)

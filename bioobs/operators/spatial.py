@@ -320,10 +320,7 @@ def degrees_box(grid: Grid, srid: int) -> tuple[float, float, float, float]:
     box = (grid.x_min, grid.y_min, grid.x_max, grid.y_max)
     if srid == 4326:
         return box
-    projection = PROJECTIONS[srid]
-    if not hasattr(projection, "lon_lat_envelope"):
-        return -180.0, -90.0, 180.0, 90.0
-    return projection.lon_lat_envelope(*box)
+    return PROJECTIONS[srid].lon_lat_envelope(*box)
 
 
 # ------------------------------------------------------------------ convex hull

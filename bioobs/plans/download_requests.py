@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from bioobs.fixed_values import REUSE_DAYS
+from bioobs.functions.rings import polygon_wkt
 from bioobs.operators.predicates import DEFAULT_QUALITY, And, Predicate, Within, predicate_table
 from bioobs.operators.requests import (
     flat_predicates,
@@ -12,6 +13,7 @@ from bioobs.operators.requests import (
     newest_match,
     usable_history,
 )
+from bioobs.plans.occurrence import request_region
 
 
 def request_for(wkt: str) -> Predicate:
@@ -19,6 +21,17 @@ def request_for(wkt: str) -> Predicate:
     return And(Within(wkt), *DEFAULT_QUALITY.parts)
 
 
+def request_for_boundary(boundary: DataFrame, source: int = 3005) -> Predicate:
+    """A request for the convex hull of a boundary, in degrees.
+
+    The text of the region is part of the request, so its corners come to the driver.
+    """
+    region = request_region(boundary, source).select(polygon_wkt("rings")).first()
+    if region is None:
+        raise ValueError("the boundary has no polygon")
+    return request_for(region[0])
+
+
 def reusable_download(
     spark: SparkSession,
     history: DataFrame,

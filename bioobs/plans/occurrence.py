@@ -66,8 +66,13 @@ def write_clipped(clipped: DataFrame, path: str, by=PARTITION_RANKS) -> None:
     write_partitioned(clipped, path, by)
 
 
-def request_region(boundary: DataFrame, source: int = 3005) -> DataFrame:
-    """Convex hull of each boundary polygon, in degrees, as rings."""
-    corners = edges(boundary).select("pid", F.col("x1").alias("x"), F.col("y1").alias("y"))
+def request_region(boundary: DataFrame, source: int = 3005, per_polygon: bool = False) -> DataFrame:
+    """Convex hull of the whole boundary in degrees, as rings: ``pid, rings, srid``.
+
+    ``per_polygon`` gives one hull for each polygon; otherwise ``pid`` is NULL.
+    """
+    kind = boundary.schema["polygon_id"].dataType
+    group = F.col("pid") if per_polygon else F.lit(None).cast(kind).alias("pid")
+    corners = edges(boundary).select(group, F.col("x1").alias("x"), F.col("y1").alias("y"))
     hull = hull_ring(convex_hull(corners, "pid"), "pid")
     return hull.withColumn("rings", reproject_rings("rings", source, 4326)).withColumn("srid", F.lit(4326))

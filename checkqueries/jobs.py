@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from bioobs.fixed_values import REQUEST_SOURCE, REQUEST_STATUS, REUSE_DAYS
 from bioobs.functions import projection as P
-from bioobs.functions.rings import box_ring, point, reproject_rings
+from bioobs.functions.rings import box_ring, point, polygon_wkt, reproject_rings
 from bioobs.operators.ordering import BLOCK, with_key_chunk
+from bioobs.operators.predicates import DEFAULT_QUALITY, predicate_table
 from bioobs.operators.shape import bind_rows
+from bioobs.plans.download_requests import request_for, request_for_boundary, reusable_download
 from bioobs.plans.occurrence import clip_to_boundary, request_region, write_clipped
 from bioobs.plans.surveys import (
     long_census_observations,
@@ -108,16 +111,76 @@ def q_clip_stream(spark, d):
 
 
 @check("q_request_region", f"""
+WITH v AS (SELECT lon, lat, {AX} AS x, {AY} AS y FROM ({VERTICES_SQL}))
+SELECT DISTINCT round(lon, 9) AS lon, round(lat, 9) AS lat FROM (
+  SELECT a.lon, a.lat FROM v a JOIN v b ON a.x <> b.x OR a.y <> b.y CROSS JOIN v c
+  GROUP BY a.lon, a.lat, b.lon, b.lat
+  HAVING min((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x)) >= 0)
+""")
+def q_request_region(spark, d):
+    """A vertex is a corner if a line from it to another leaves all vertices on one side."""
+    return _corners(request_region(boundary(spark, d))).select("lon", "lat")
+
+
+@check("q_request_regions", f"""
 SELECT n_nationkey, round(lon, 9) AS lon, round(lat, 9) AS lat
 FROM ({VERTICES_SQL}) WHERE i IN (0, 1, 3, 5)
 """)
-def q_request_region(spark, d):
-    hull = request_region(boundary(spark, d))
+def q_request_regions(spark, d):
+    return _corners(request_region(boundary(spark, d), per_polygon=True))
+
+
+def _corners(hull):
     ring = F.slice(F.col("rings")[0], 1, F.size(F.col("rings")[0]) - 1)
     corners = hull.select(F.col("pid").alias("n_nationkey"), F.explode(ring).alias("v"))
     return corners.select("n_nationkey", F.round("v.x", 9).alias("lon"), F.round("v.y", 9).alias("lat"))
 
 
+def _request_history(spark, d):
+    """Each event as an earlier request: of this region, of another, or of more."""
+    key = F.col("event_id")
+    region = request_region(boundary(spark, d)).select(polygon_wkt("rings")).scalar()
+    quality = predicate_table(spark, DEFAULT_QUALITY).groupBy("type", "key").agg(F.collect_list("value").alias("values"))
+    defaults = quality.agg(
+        F.collect_list(F.struct("type", "key", "values", F.lit(None).cast("string").alias("geometry")))
+    ).scalar()
+    none = F.lit(None).cast("string")
+    part = lambda kind, name, values, shape: F.array(
+        F.struct(F.lit(kind).alias("type"), name.alias("key"), values.cast("array<string>").alias("values"), shape.alias("geometry"))
+    )
+    here = part("within", none, F.array(), F.when(key % 3 == 0, region).otherwise("POLYGON ((0 0, 1 0, 1 1, 0 0))"))
+    more = part("equals", F.lit("TAXON_KEY"), F.array(F.lit("212")), none)
+    asked = F.concat(defaults, here)
+    return table(spark, d, "events").select(
+        key.cast("string").alias("key"),
+        F.when(F.col("event_type") == "error", "CANCELLED").otherwise(REQUEST_STATUS).alias("status"),
+        F.when(key % 4 == 0, "web").otherwise(REQUEST_SOURCE).alias("source"),
+        F.col("ts").alias("created"),
+        F.when(key % 5 == 0, F.concat(asked, more)).otherwise(asked).alias("predicates"),
+    )
+
+
+REUSE_CASES = {"match": "2024-02-01", "stale": "2034-02-01"}
+
+
+def _reuse_sql(case: str, as_of: str) -> str:
+    return f"""SELECT '{case}' AS "case", event_id::VARCHAR AS key FROM (
+  SELECT event_id, ts FROM events
+  WHERE event_type <> 'error' AND event_id % 4 <> 0 AND event_id % 3 = 0 AND event_id % 5 <> 0
+    AND ts::DATE > DATE '{as_of}' - {REUSE_DAYS} ORDER BY ts DESC, event_id::VARCHAR LIMIT 1)"""
+
+
+@check("q_request_reuse", "\nUNION ALL ".join(_reuse_sql(c, day) for c, day in REUSE_CASES.items()))
+def q_request_reuse(spark, d):
+    """Boundary to hull to request, compared with a history: a match, only stale ones, and none."""
+    history, wanted = _request_history(spark, d), request_for_boundary(boundary(spark, d))
+    elsewhere = request_for("POLYGON ((5 5, 6 5, 6 6, 5 5))")
+    cases = [(c, wanted, day) for c, day in REUSE_CASES.items()] + [("none", elsewhere, REUSE_CASES["match"])]
+    return bind_rows(
+        *[reusable_download(spark, history, w, day).select(F.lit(c).alias("case"), "key") for c, w, day in cases]
+    )
+
+
 # ------------------------------------------------------------------ harmonise
 
 

@@ -44,7 +44,7 @@ def test_clip_moves_no_points(spark, tmp_path):
 
 
 def test_no_cross_join_or_python_in_the_queries(spark):
-    allowed_python = {"q_convex_hull", "q_request_region"}
+    allowed_python = {"q_convex_hull", "q_request_region", "q_request_regions", "q_request_reuse"}
     for name, query in entry.queries().items():
         text = plan(query(spark, FOLDER))
         assert "CartesianProduct" not in text and "NestedLoopJoin" not in text, name
