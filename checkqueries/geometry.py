@@ -36,34 +36,63 @@ from checkqueries.registry import (
     table,
 )
 
-# ---- the projections once more, as SQL text written from the same textbooks
+# ---- the projections once more, from published definitions and without the package's constants
 
+# fixed values: GRS80 (EPSG:7019); EPSG:3005; the series of Deakin, Hunter and Karney,
+# "The Gauss-Krueger projection" (2010), for GRS80; EPSG:32610
+SEMI_MAJOR, INVERSE_FLATTENING = "6378137e0", "298.257222101e0"
+ORIGIN_LAT, ORIGIN_LON, PARALLEL_1, PARALLEL_2, FALSE_EASTING = "45e0", "-126e0", "50e0", "58.5e0", "1000000e0"
+RECTIFYING_RADIUS = "6367449.145771e0"
+FORWARD = ["8.377318247344e-4", "7.608527788826e-7", "1.197638019173e-9", "2.443376242510e-12"]
+BACKWARD = ["8.377321681641e-4", "5.905869626083e-8", "1.673488904988e-10", "2.167737805597e-13"]
+ZONE_SCALE, ZONE_MERIDIAN, ZONE_EASTING = "0.9996e0", "-123e0", "500000e0"
 
-def albers_sql(lon_sql: str, lat_sql: str) -> tuple[str, str]:
-    """x and y of EPSG:3005."""
-    c = P.BC_ALBERS
+E2 = f"((2 - 1 / {INVERSE_FLATTENING}) / {INVERSE_FLATTENING})"
+ECC = f"sqrt({E2})"
+
+
+def _authalic_sql(lat_sql: str) -> str:
     s = f"sin(radians({lat_sql}))"
-    e, e2 = num(P.E), num(P.E2)
-    q = f"((1 - {e2}) * ({s} / (1 - {e2} * {s} * {s}) - ln((1 - {e} * {s}) / (1 + {e} * {s})) / (2 * {e})))"
-    rho = f"(sqrt({num(c.c)} - {num(c.n)} * {q}) * {num(P.A / c.n)})"
-    theta = f"(radians({lon_sql} - {num(c.lon_0)}) * {num(c.n)})"
-    return f"({num(c.x_0)} + {rho} * sin({theta}))", f"({num(c.y_0 + c.rho_0)} - {rho} * cos({theta}))"
+    return f"((1 - {E2}) * ({s} / (1 - {E2} * {s} * {s}) - ln((1 - {ECC} * {s}) / (1 + {ECC} * {s})) / (2 * {ECC})))"
+
+
+def _parallel2_sql(lat_sql: str) -> str:
+    """The squared radius of a parallel, in semi-major axes."""
+    return f"(pow(cos(radians({lat_sql})), 2) / (1 - {E2} * pow(sin(radians({lat_sql})), 2)))"
+
+
+def albers_sql(lon_sql: str, lat_sql: str) -> tuple[str, str]:
+    """x and y of EPSG:3005: Snyder, equations 14-1 to 14-16."""
+    m1, m2 = _parallel2_sql(PARALLEL_1), _parallel2_sql(PARALLEL_2)
+    q1, q2 = _authalic_sql(PARALLEL_1), _authalic_sql(PARALLEL_2)
+    n = f"(({m1} - {m2}) / ({q2} - {q1}))"
+    rho = lambda q: f"({SEMI_MAJOR} * sqrt({m1} + {n} * ({q1} - {q})) / {n})"
+    here, origin = rho(_authalic_sql(lat_sql)), rho(_authalic_sql(ORIGIN_LAT))
+    theta = f"({n} * radians({lon_sql} - {ORIGIN_LON}))"
+    return f"({FALSE_EASTING} + {here} * sin({theta}))", f"({origin} - {here} * cos({theta}))"
 
 
 def utm_sql(lon_sql: str, lat_sql: str) -> tuple[str, str]:
     """x and y of EPSG:32610."""
-    e = num(P.E)
     s = f"sin(radians({lat_sql}))"
-    t = f"sinh(atanh({s}) - {e} * atanh({e} * {s}))"
-    lam = f"radians({lon_sql} + 123)"
+    t = f"sinh(atanh({s}) - {ECC} * atanh({ECC} * {s}))"
+    lam = f"radians({lon_sql} - {ZONE_MERIDIAN})"
     xi = f"atan2({t}, cos({lam}))"
     eta = f"asinh(sin({lam}) / sqrt({t} * {t} + cos({lam}) * cos({lam})))"
     north, east = xi, eta
-    for j, a in enumerate(P._ALPHA, start=1):
-        north += f" + {num(a)} * sin({2 * j} * {xi}) * cosh({2 * j} * {eta})"
-        east += f" + {num(a)} * cos({2 * j} * {xi}) * sinh({2 * j} * {eta})"
-    k = num(0.9996 * P._RECTIFYING_RADIUS)
-    return f"(500000 + {k} * ({east}))", f"({k} * ({north}))"
+    for j, a in enumerate(FORWARD, start=1):
+        north += f" + {a} * sin({2 * j} * {xi}) * cosh({2 * j} * {eta})"
+        east += f" + {a} * cos({2 * j} * {xi}) * sinh({2 * j} * {eta})"
+    k = f"({ZONE_SCALE} * {RECTIFYING_RADIUS})"
+    return f"({ZONE_EASTING} + {k} * ({east}))", f"({k} * ({north}))"
+
+
+def geographic_sql(chi_sql: str) -> str:
+    """Latitude in degrees from conformal latitude, by repeated substitution."""
+    target, s = f"asinh(tan({chi_sql}))", f"sin({chi_sql})"
+    for _ in range(9):
+        s = f"tanh({target} + {ECC} * atanh({ECC} * {s}))"
+    return f"degrees(asin({s}))"
 
 
 AX, AY = albers_sql("lon", "lat")

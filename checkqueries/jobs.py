@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bioobs.fixed_values import REQUEST_SOURCE, REQUEST_STATUS, REUSE_DAYS
-from bioobs.functions import projection as P
 from bioobs.functions.rings import box_ring, point, polygon_wkt, reproject_rings
 from bioobs.operators.ordering import BLOCK, with_key_chunk
 from bioobs.operators.predicates import DEFAULT_QUALITY, predicate_table
@@ -22,7 +21,7 @@ from bioobs.schemas import OBSERVATION_SCHEMA
 from bioobs.session import shared_folder
 from bioobs.sources.readers import scan_data_files
 from bioobs.streaming.clip_stream import start_clip_stream
-from checkqueries.geometry import AX, AY, POINTS_SQL, VERTICES_SQL
+from checkqueries.geometry import AX, AY, BACKWARD, POINTS_SQL, RECTIFYING_RADIUS, VERTICES_SQL, ZONE_SCALE, geographic_sql
 from checkqueries.registry import (
     CENTRE_LAT_SQL,
     CENTRE_LON_SQL,
@@ -412,11 +411,11 @@ def q_harmonise_plots(spark, d):
 
 
 # metres per unit of the rectifying sphere
-K = num(0.9996 * P._RECTIFYING_RADIUS)
+K = f"({ZONE_SCALE} * {RECTIFYING_RADIUS})"
 
 
 def _series(terms, angle, form):
-    return " ".join(form.format(c=num(c), k=2 * j, a=angle) for j, c in enumerate(terms, start=1))
+    return " ".join(form.format(c=c, k=2 * j, a=angle) for j, c in enumerate(terms, start=1))
 
 
 STREAM_SQL = f"""
@@ -424,12 +423,12 @@ WITH grid AS (
   SELECT n_name, (n_nationkey * 3650)::DOUBLE / {K} AS e, (5427000 + n_nationkey * 2200)::DOUBLE / {K} AS n FROM nation),
 sphere AS (
   SELECT n_name,
-         n {_series(P._BETA, "n", "- {c} * sin({k} * {a}) * cosh({k} * e)")} AS xi,
-         e {_series(P._BETA, "n", "- {c} * cos({k} * {a}) * sinh({k} * e)")} AS eta FROM grid),
+         n {_series(BACKWARD, "n", "- {c} * sin({k} * {a}) * cosh({k} * e)")} AS xi,
+         e {_series(BACKWARD, "n", "- {c} * cos({k} * {a}) * sinh({k} * e)")} AS eta FROM grid),
 conformal AS (SELECT n_name, asin(sin(xi) / cosh(eta)) AS chi, atan2(sinh(eta), cos(xi)) AS lam FROM sphere),
 place AS (
   SELECT n_name, degrees(lam) - 123 AS lon,
-         degrees(chi {_series(P._FROM_CONFORMAL, "chi", "+ {c} * sin({k} * {a})")}) AS lat FROM conformal),
+         {geographic_sql("chi")} AS lat FROM conformal),
 s AS (SELECT event_id, ts, 'NATION_' || (user_id % 26)::VARCHAR AS stream,
              CASE event_id % 7 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN -5 WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE round(value, 0) END AS m FROM events)
 SELECT {_sql_columns(

@@ -4,8 +4,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from bioobs.functions import text, values
-from bioobs.functions.projection import BC_ALBERS, reproject
+from bioobs.functions import projection, text, values
+from bioobs.functions.projection import reproject
 from bioobs.functions.rings import area_m2, centroid, closed, oriented, polygon_wkt, box_ring
 
 
@@ -86,6 +86,26 @@ def test_projection_control_points(spark):
     assert abs(b.e - 500_000) < 1e-6 and abs(b.n - 0.9996 * meridian_arc(49.0)) < 1e-3
 
 
+def test_published_points_off_the_central_meridian(spark, monkeypatch):
+    # zone 17: 43°38'33.24"N 79°23'13.7"W is 630084 m east, 4833438 m north; mirrored west of the meridian
+    lon, lat = -(79 + 23 / 60 + 13.7 / 3600), 43 + 38 / 60 + 33.24 / 3600
+    rows = spark.createDataFrame([(lon, lat), (-162.0 - lon, lat)], "lon double, lat double")
+    x, y = projection.TransverseMercator(lon_0=-81.0).forward("lon", "lat")
+    east, west = rows.select(x.alias("x"), y.alias("y")).collect()
+    assert abs(east.x - 630_084) < 1 and abs(east.y - 4_833_438) < 1
+    assert abs(west.x - (1_000_000 - 630_084)) < 1 and abs(west.y - 4_833_438) < 1
+    # Snyder's example of the conic, on the ellipsoid of Clarke 1866
+    monkeypatch.setattr(projection, "A", 6378206.4)
+    monkeypatch.setattr(projection, "E2", 0.00676866)
+    monkeypatch.setattr(projection, "E", math.sqrt(0.00676866))
+    conic = projection.EqualAreaConic(lat_0=23.0, lon_0=-96.0, lat_1=29.5, lat_2=45.5, x_0=0.0)
+    x, y = conic.forward("lon", "lat")
+    places = spark.createDataFrame([(-75.0, 35.0), (-117.0, 35.0)], "lon double, lat double")
+    east, west = places.select(x.alias("x"), y.alias("y")).collect()
+    assert abs(east.x - 1_885_472.7) < 0.1 and abs(east.y - 1_535_925.0) < 0.1
+    assert abs(west.x + 1_885_472.7) < 0.1 and abs(west.y - 1_535_925.0) < 0.1
+
+
 def test_projection_keeps_scale_on_standard_parallels(spark):
     f = 1 / 298.257222101
     e2 = f * (2 - f)
@@ -115,13 +135,19 @@ def test_projection_keeps_area(spark):
     assert abs(one(spark, area_m2(box)) / true - 1) < 1e-6
 
 
-def test_envelope_contains(spark):
-    x0, y0, x1, y1 = 300_000, 400_000, 1_900_000, 1_700_000
-    w, s, e, n = BC_ALBERS.lon_lat_envelope(x0, y0, x1, y1)
+@pytest.mark.parametrize(
+    "srid, box",
+    [(3005, (300_000, 400_000, 1_900_000, 1_700_000)), (32610, (200_000, 5_300_000, 900_000, 6_600_000)),
+     (32610, (600_000, -2_000_000, 1_400_000, 1_000_000))],
+)
+def test_envelope_contains(spark, srid, box):
+    x0, y0, x1, y1 = box
+    w, s, e, n = projection.PROJECTIONS[srid].lon_lat_envelope(x0, y0, x1, y1)
+    assert e - w < 60
     grid = spark.range(101 * 101).select(
         (x0 + (F.col("id") % 101) * (x1 - x0) / 100).alias("x"), (y0 + F.floor(F.col("id") / 101) * (y1 - y0) / 100).alias("y")
     )
-    lon, lat = reproject("x", "y", 3005, 4326)
+    lon, lat = reproject("x", "y", srid, 4326)
     outside = grid.select(lon.alias("lon"), lat.alias("lat")).where(
         ~(F.col("lon").between(w, e) & F.col("lat").between(s, n))
     )
