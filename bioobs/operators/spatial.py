@@ -401,14 +401,19 @@ def _hull_steps(held: int = 200_000):
     def thin(batches):
         import pandas as pd
 
-        kept = None
+        waiting, rows, corners = [], 0, 0
         for pdf in batches:
-            kept = thinned(pdf if kept is None else pd.concat([kept, pdf]))
-            if len(kept) > held:  # pass on early rather than hold very many corners
+            waiting.append(pdf)
+            rows += len(pdf)
+            if rows < 2 * corners:  # thin again when the rows have doubled
+                continue
+            kept = thinned(pd.concat(waiting))
+            waiting, rows, corners = [kept], len(kept), len(kept)
+            if corners > held:  # pass on early rather than hold very many corners
                 yield kept
-                kept = None
-        if kept is not None:
-            yield kept
+                waiting, rows, corners = [], 0, 0
+        if waiting:
+            yield thinned(pd.concat(waiting))
 
     def finish(pdf):
         out = thinned(pdf)

@@ -25,17 +25,16 @@ def scan_parquet(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
 def scan_data_files(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Only the ``*.parquet`` files under a folder that also holds markers.
 
-    Folder names become partition columns, as text: a taxon called ``007`` keeps
-    its zeros whatever the session's setting.
+    Folder names become partition columns, as text unless ``schema`` types them: a
+    taxon called ``007`` keeps its zeros whatever the session's setting.
     """
-    guess = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(guess)
-    spark.conf.set(guess, "false")
-    try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.option("pathGlobFilter", "*.parquet").option("basePath", path).parquet(path)
-    finally:
-        spark.conf.set(guess, before)
+    files = lambda: spark.read.option("pathGlobFilter", "*.parquet").option("basePath", path)
+    if schema is None:
+        schema = files().option("recursiveFileLookup", True).parquet(path).schema
+    found = files().schema(schema).parquet(path).schema
+    stored = set(schema.names)
+    typed = [f if f.name in stored else T.StructField(f.name, T.StringType()) for f in found]
+    return files().schema(T.StructType(typed)).parquet(path)
 
 
 def read_csv(

@@ -17,8 +17,8 @@ from bioobs.operators.shape import (
     with_constants,
 )
 from bioobs.session import shared_folder
-from bioobs.sources.readers import literal_table, read_csv, scan_data_files, scan_parquet
-from bioobs.sources.sinks import write_partitioned
+from bioobs.sources.readers import list_files, literal_table, read_csv, scan_data_files, scan_parquet
+from bioobs.sources.sinks import write_partitioned, write_table
 from checkqueries.registry import LAT_SQL, LON_SQL, check, lat, lon, table
 
 
@@ -390,3 +390,25 @@ def q_match_any_repeated_keys(spark, d):
     # words that no url holds make the list long
     filled = short.unionByName(spark.range(2_000).select(F.concat(F.lit("?!"), F.col("id")).alias("w")))
     return match_any(pages, "url", filled, "w")
+
+
+@check("q_file_listing", """
+SELECT 'o_orderstatus=' || o_orderstatus AS folder, TRUE AS filled, count(*) AS n_rows FROM orders GROUP BY o_orderstatus
+""")
+def q_file_listing(spark, d):
+    """Folders of a listing beside the rows that were written into each."""
+    orders, path = table(spark, d, "orders"), shared_folder(spark, "listing")
+    write_partitioned(orders, path, ["o_orderstatus"])
+    listed = list_files(spark, path).select(F.regexp_extract("path", "/(o_orderstatus=[^/]*)/", 1).alias("folder"), "size")
+    sizes = listed.groupBy("folder").agg((F.min("size") > 0).alias("filled"))
+    counted = scan_data_files(spark, path).groupBy(F.concat(F.lit("o_orderstatus="), "o_orderstatus").alias("folder"))
+    return sizes.join(counted.agg(F.count("*").alias("n_rows")), "folder")
+
+
+@check("q_overwrite", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F'")
+def q_overwrite(spark, d):
+    """The second write replaces the first."""
+    orders, path = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), shared_folder(spark, "single")
+    write_table(orders, path)
+    write_table(orders.where("o_orderstatus <> 'F'").drop("o_orderstatus"), path)
+    return scan_parquet(spark, path)

@@ -3,9 +3,19 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import types as T
-
-from bioobs.operators.spatial import convex_hull, hull_ring, points_in_polygons, tag_points, with_srid
+from pyspark.sql import functions as F, types as T
+
+from bioobs.operators.spatial import (
+    cell_table,
+    cell_tests,
+    convex_hull,
+    edges,
+    fit_grid,
+    hull_ring,
+    points_in_polygons,
+    tag_points,
+    with_srid,
+)
 from bioobs.plans.occurrence import clip_to_boundary
 from bioobs.schemas import GEOMETRY_SCHEMA
 
@@ -123,3 +133,27 @@ def test_hull_of_few_points(spark):
     assert sorted((r.g, r.x) for r in hull.collect()) == [("line", 0.0), ("line", 2.0), ("one", 1.0)]
     rings = {r.g: r.rings for r in hull_ring(hull, "g").collect()}
     assert [v.x for v in rings["line"][0]] == [0.0, 2.0, 0.0]
+
+
+def test_long_outline(spark, tmp_path):
+    """Sides of one outline lie on many tasks, and its grid may be finer than any fixed size."""
+    random.seed(5)
+    n = 70_000
+    ring = star(0.0, 0.0, n, 90.0, 91.0)
+    spark.createDataFrame([polygon(1, ring)], BOUNDARY).write.parquet(str(tmp_path / "outline"))
+    outline = spark.read.parquet(str(tmp_path / "outline"))
+    sides = edges(outline)
+    assert sides.count() == n and sides.rdd.getNumPartitions() > 1
+    grid = fit_grid(sides, 2**40)
+    assert grid.side == int(2 * n**0.5)
+    coarse = fit_grid(sides, 2**25)
+    assert coarse.side < grid.side
+    rng = np.random.default_rng(6)
+    angle, radius = rng.uniform(0, 2 * math.pi, 300), rng.uniform(88, 93, 300)
+    xs, ys = radius * np.cos(angle), radius * np.sin(angle)
+    wanted = set(np.nonzero(brute([ring], xs, ys))[0].tolist())
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(zip(xs, ys))], "id long, x double, y double")
+    for size in (2**40, 2**25, 0):
+        assert {r.id for r in points_in_polygons(points, outline, broadcast_bytes=size).collect()} == wanted
+    near = cell_table(cell_tests(sides, grid), grid).agg(F.max(F.size("near"))).first()[0]
+    assert 0 < near < 200

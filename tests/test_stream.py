@@ -44,3 +44,11 @@ def test_each_file_once(spark, tmp_path, limit):
     rows = lambda df: sorted(map(tuple, df.select(columns).collect()), key=str)
     assert rows(streamed) == rows(scan_data_files(spark, table)) == rows(batch)
     assert {r.phylum for r in streamed.collect()} == {"unknown"}
+
+
+def test_rows_gather_by_folder(spark, tmp_path):
+    inbox, out = str(tmp_path / "in"), tmp_path / "out"
+    records(spark, -124.0, 60).repartition(12).write.parquet(inbox)
+    start_clip_stream(spark, inbox, boundary(spark), str(out), str(tmp_path / "progress")).awaitTermination()
+    folders = [len(list(f.glob("*.parquet"))) for f in out.glob("kingdom=*/phylum=*/class=*")]
+    assert folders == [1, 1, 1]
