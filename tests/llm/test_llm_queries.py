@@ -289,6 +289,19 @@ def test_sum_product_is_exact():
     assert np.allclose(html_extract.marginals(nodes, model), np.log(mass[:, 1] / mass[:, 0]))
 
 
+@pytest.mark.parametrize("n", [3, 20, 500])
+def test_lists_in_an_article(spark, n):
+    sample = html_extract.labelled_pages(spark.read.parquet(f"{FOLDER}/pages.parquet"), "page_id", "html")
+    lists = ["<ul>" + f"<li>{item}</li>" * n + "</ul>" for item in ("short item", "An item with a stop.", P)]
+    lists += ["<table>" + "<tr><td>cell<td>7</tr>" * n + "</table>", "<dl>" + "<dt>term<dd>what it is" * n + "</dl>"]
+    for inner in lists:
+        inner = f"<h1>Title</h1><p>{P}</p>{inner}<p>End.</p>"
+        expected = "\n\n".join(x.text for x in html_extract.parse_page(inner) if x.text)
+        for model in (html_extract.train(sample), html_extract.train([])):
+            page = f"<body><nav><ul><li><a href=x>n</a></ul></nav><article>{inner}</article>"
+            assert html_extract.main_text(page, model) == expected
+
+
 # operator 6
 
 
