@@ -5,7 +5,11 @@ or not. A node has a potential from its features (tag, words in its class, id an
 role, length and links of its text), a parent and child one from how often both
 agree. On a tree sum-product is exact: messages go up from the leaves, then down
 from the root, and give every node's marginal. Text whose marginal is over one half
-is the page's main text.
+is the page's main text. Unwanted elements are ruled out with all below them before,
+however much they hold; they send no message to what is around them. An ``article``
+or ``main`` elsewhere is content, however many children speak against it. Only where
+a page has none elsewhere do those inside unwanted elements (a form around the whole
+page) count.
 
 The potentials are trained from labelled pages: those with an ``article`` element,
 where content is what lies in it outside of unwanted elements. The sample is bounded
@@ -51,12 +55,9 @@ UNWANTED_WORDS = frozenset(
 CONTENT_WORDS = frozenset("article articlebody content entry main maintext post story text".split())
 _WORDS = re.compile(r"[a-z]+")
 
-# prior weights; evidence is strong enough to outweigh any number of children
-EVIDENCE = 40.0
+# prior weights
 PRIOR = {
     "bias": 0.0,
-    "unwanted": -EVIDENCE,
-    "content tag": EVIDENCE,
     "content word": 2.0,
     "text tag": 0.5,
     "piece": 0.5,
@@ -79,15 +80,23 @@ def _unwanted(node: Node) -> bool:
     return bool(words - {"header"} if node.within else words)
 
 
+def ruled_out(nodes: list[Node]) -> list[bool]:
+    """Whether a node is unwanted, or in what is unwanted."""
+    out = [False] * len(nodes)
+    for i, node in enumerate(nodes):
+        out[i] = (node.parent >= 0 and out[node.parent]) or _unwanted(node)
+    if all(o for n, o in zip(nodes, out) if n.tag in CONTENT_TAGS):
+        for i, node in enumerate(nodes):
+            above = node.parent >= 0 and out[node.parent] and node.tag not in CONTENT_TAGS
+            out[i] = above or _unwanted(node)
+    return out
+
+
 def features(node: Node) -> tuple[str, ...]:
     if node.text is None:
         out = ["bias"]
         if node.tag in TEXT_TAGS:
             out.append("text tag")
-        if _unwanted(node):
-            out.append("unwanted")
-        elif node.tag in CONTENT_TAGS:
-            out.append("content tag")
         if node.names and not CONTENT_WORDS.isdisjoint(_WORDS.findall(node.names)):
             out.append("content word")
         return tuple(out)
@@ -115,12 +124,12 @@ def labels(nodes: list[Node]) -> list[int] | None:
     """
     if not any(n.tag == "article" for n in nodes):
         return None
-    inside = [0] * len(nodes)
+    inside = [-o for o in ruled_out(nodes)]
     for i, node in enumerate(nodes):
-        if node.text is None and _unwanted(node):
-            inside[i] = -1
-        elif node.parent >= 0 and inside[node.parent]:
-            inside[i] = inside[node.parent]
+        if inside[i] < 0:
+            continue
+        if node.parent >= 0 and inside[node.parent] > 0:
+            inside[i] = 1
         elif node.tag == "article":
             inside[i] = 1
     found = [int(s > 0) for s in inside]
@@ -142,21 +151,32 @@ def _log_add(a: float, b: float) -> float:
     return a + math.log1p(math.exp(b - a)) if a > b else b + math.log1p(math.exp(a - b))
 
 
+def _message(above: tuple[float, float], below: tuple[float, float], odds: float) -> float:
+    """Log-ratio of two potentials, each summed over a variable with these log-odds."""
+    if math.isinf(odds):
+        return above[odds > 0] - below[odds > 0]
+    return _log_add(above[0], above[1] + odds) - _log_add(below[0], below[1] + odds)
+
+
 def marginals(nodes: list[Node], model: Model) -> list[float]:
     """Log-odds of content for every node, by messages up and down the tree."""
     weight = model.weights.get
-    own = [sum(weight(f, 0.0) for f in features(n)) for n in nodes]
-    pairs = [model.pairs["inner"]] + [model.pairs[place(nodes[n.parent])] for n in nodes[1:]]
+    out = ruled_out(nodes)
+    belief = [  # from the node and all below it
+        -math.inf if o else math.inf if n.tag in CONTENT_TAGS else sum(weight(f, 0.0) for f in features(n))
+        for n, o in zip(nodes, out)
+    ]
+    linked = [i for i in range(1, len(nodes)) if not out[i] and not out[nodes[i].parent]]
+    pairs = {i: model.pairs[place(nodes[nodes[i].parent])] for i in linked}
     up = [0.0] * len(nodes)  # log-odds of the parent that the child's subtree adds
-    belief = own[:]  # from the node and all below it
-    for i in range(len(nodes) - 1, 0, -1):
-        (aa, ab), (ba, bb) = pairs[i]
-        up[i] = _log_add(ba, bb + belief[i]) - _log_add(aa, ab + belief[i])
+    for i in reversed(linked):
+        none, some = pairs[i]
+        up[i] = _message(some, none, belief[i])
         belief[nodes[i].parent] += up[i]
-    for i in range(1, len(nodes)):
+    for i in linked:
         (aa, ab), (ba, bb) = pairs[i]
         above = belief[nodes[i].parent] - up[i]  # the parent without this subtree
-        belief[i] += _log_add(ab, bb + above) - _log_add(aa, ba + above)
+        belief[i] += _message((ab, bb), (aa, ba), above)
     return belief
 
 
@@ -209,10 +229,11 @@ def train(pages: list[str]) -> Model:
         truth = labels(nodes)
         if truth is None:
             continue
+        out = ruled_out(nodes)
         for i, node in enumerate(nodes):
             if node.text is not None:
                 seen[features(node), truth[i]] += 1
-            if i:
+            if i and out[i] == out[node.parent]:
                 pairs[place(nodes[node.parent]), truth[node.parent], truth[i]] += 1
     return fit(seen, pairs)
 

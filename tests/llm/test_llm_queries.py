@@ -302,6 +302,20 @@ def test_lists_in_an_article(spark, n):
             assert html_extract.main_text(page, model) == expected
 
 
+@pytest.mark.parametrize("n", [5, 50, 5000])
+def test_unwanted_sections_of_any_length(spark, n):
+    sample = html_extract.labelled_pages(spark.read.parquet(f"{FOLDER}/pages.parquet"), "page_id", "html")
+    for model in (html_extract.train(sample), html_extract.train([])):
+        for name in ("aside", "footer", "section class=comments", "div class=sidebar"):
+            for inner in (f"<p>{P}</p>", "<p>Short.</p>", f"<article><p>{P}</p></article>"):
+                section = f"<{name}>{inner * n}</{name.split()[0]}>"
+                assert html_extract.main_text(f"<body><article><p>{P}</p>{section}</article>{section}", model) == P.strip()
+        links = "<p><a href=x>a link</a></p>" * n  # do not speak against the article
+        assert html_extract.main_text(f"<article><p>{P}</p>{links}</article>", model).startswith(P.strip())
+        # a form around the whole page
+        assert html_extract.main_text(f"<form><article><p>{P}</p></article></form>", model) == P.strip()
+
+
 # operator 6
 
 
