@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -104,6 +105,64 @@ def test_score_edges(edges, empty):
     assert lm_scoring.score_documents(empty).count() == 0
 
 
+def test_scores_count_whole_words_two_a_side(spark, monkeypatch):
+    """Against counts of words and pairs in Python; several bundles and ranges."""
+    draw = random.Random(2)
+    rows = [(k, " ".join(f"w{int(draw.random() ** 2 * 25)}ing" for _ in range(k % 17))) for k in range(50)]
+    rows += [(None, rows[9][1]), (9, rows[9][1]), (51, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(lm_scoring, "BUNDLE", 60)
+    got = sorted(map(tuple, lm_scoring.score_documents(docs).collect()), key=str)
+
+    counts, sample = lm_scoring.corpus_counts(docs, "text", 1.0)
+    assert counts[: lm_scoring.WINDOWS].sum() == sample.times.sum() == sum(len((t or "").split()) for _, t in rows)
+    network = lm_scoring.train_vocabulary(lm_scoring.train(counts).forward()[2], sample)
+    of_class = counts[lm_scoring.WINDOWS :].reshape(64, -1).sum(1)
+    ends = [("before", 2), ("before", 1)], [("after", 1), ("after", 2)]
+    lines = [ends[0] + (t or "").split() + ends[1] for _, t in rows if t]
+    word = Counter(w for x in lines for w in x)
+    pairs = {d: Counter(p for x in lines for p in zip(x, x[d:])) for d in (1, 2)}
+    expected = []
+    for i, t in rows:
+        x, total = ends[0] + (t or "").split() + ends[1], 0.0
+        bundle = lm_scoring.Bundle.of([t])
+        places = network.places(bundle.items)
+        around = np.stack([places[bundle.at + k] for k in (-2, -1, 1, 2)], axis=1)
+        known = network.class_logs(around, *lm_scoring.split(bundle.cell))
+        for n in range(2, len(x) - 2):
+            kind = int(bundle.ids[n - 2]) // 1024
+            own = 0.9 * (word[x[n]] - 1) / max(of_class[kind] - 1, 1) + 0.1 * 257.0 ** -(len(x[n]) + 1)
+            base, p = np.exp(known[n - 2]) * own, 0.0
+            for k in (-2, -1, 1, 2):
+                pair = (x[n + k], x[n]) if k < 0 else (x[n], x[n + k])
+                p += (pairs[abs(k)][pair] - 1 + 50 * base) / (word[x[n + k]] - 1 + 50) / 4
+            total += np.log(p)
+        expected.append((i, len(x) - 4, total, total / (len(x) - 4) if len(x) > 4 else None))
+    expected.sort(key=str)
+    assert [r[:2] for r in got] == [r[:2] for r in expected]
+    assert np.allclose([r[2] for r in got], [r[2] for r in expected], rtol=1e-5)
+
+
+def test_misplaced_words_of_one_ending_cost(spark):
+    words = [f"{a}{b}ing" for a in "bdfgklmn" for b in "aeiou"]
+    rows = [(k, " ".join(words)) for k in range(20)] + [(20, " ".join(random.Random(1).sample(words, len(words))))]
+    got = {r.doc_id: r.log_likelihood for r in lm_scoring.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[20] < got[0] - 40
+
+
+def test_vocabulary_grows_and_learns(spark, documents):
+    sizes = []
+    for docs in (documents.limit(20), documents):
+        counts, sample = lm_scoring.corpus_counts(docs, "text", 1.0)
+        base = lm_scoring.train(counts).forward()[2]
+        network = lm_scoring.train_vocabulary(base, sample)
+        pairs, kind = lm_scoring.split(sample.cell)
+        logs = network.class_logs(network.places(sample.around), pairs, kind)
+        assert np.average(logs, weights=sample.times) > np.average(base[pairs, kind], weights=sample.times) + 0.02
+        sizes.append(len(network.words))
+    assert sizes[1] > 2 * sizes[0]
+
+
 # operator 2
 
 
