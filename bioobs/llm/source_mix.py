@@ -162,8 +162,11 @@ def mix_documents(
 ) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken, first_block_taken``.
 
-    ``taken`` counts the words that the mix takes of it, repeats included, and
-    ``first_block_taken`` how often it takes the block in which the document begins.
+    ``taken`` counts the words that the mix takes of it, repeats included.
+    ``first_block_taken`` is for those who take documents whole: how often to take this
+    one, so that every source comes within half of one document to its target. Each is
+    taken as often as the target holds its source, and those that begin the row of words
+    (which is by a hash of the id) once more, up to the middle of the last.
     ``block_words`` trades the work per word against how near a small source comes
     to its target (within half a block, and three times its last, short block).
     """
@@ -175,7 +178,7 @@ def mix_documents(
     last = F.floor((F.col("begin") + F.col("size") - 1) / block_words).cast("long")
     pieces = (
         placed(sizes.where(F.col("size") > 0))
-        .select(*row, F.posexplode(F.sequence(first, last)).alias("piece", "block"))
+        .select(*row, F.explode(F.sequence(first, last)).alias("block"))
         .withColumn(
             "words",
             F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * block_words)
@@ -187,21 +190,22 @@ def mix_documents(
     taken = (
         pieces.join(taken_blocks.hint("merge"), ["src", "block"], "left")
         .groupBy(*row)
-        .agg(
-            F.sum(F.col("words") * times).alias("taken"),
-            F.max(F.when(F.col("piece") == 0, times)).alias("first_block_taken"),
-        )
-        .select("src", "doc_id", "size", "taken", "first_block_taken")
+        .agg(F.sum(F.col("words") * times).alias("taken"))
+        .select("src", "doc_id", "size", "taken", "begin")
     )
     none = F.lit(0).cast("long")
     empty = sizes.where(F.col("size") == 0).select(
-        "src", "doc_id", "size", none.alias("taken"), none.alias("first_block_taken")
+        "src", "doc_id", "size", none.alias("taken"), none.alias("begin")
     )
+    full = F.floor(F.col("target") / F.col("source_size"))
+    middle = F.col("begin") + F.col("size") / 2
+    whole = full + (middle < F.col("target") - full * F.col("source_size")).cast("long")
+    whole = F.when(F.col("size") > 0, whole).otherwise(none).cast("long")
     per_source = broadcast_if_small(wanted.select("src", "source_size", "target"))
     return (
         taken.unionByName(empty)
         .join(per_source, "src")
-        .select("doc_id", "size", "source_size", "target", "taken", "first_block_taken")
+        .select("doc_id", "size", "source_size", "target", "taken", whole.alias("first_block_taken"))
     )
 
 

@@ -513,6 +513,19 @@ def test_pipeline(spark, documents, texts):
     assert got == expected and len(corpus_pipeline.STAGES) == 5
 
 
+def test_pipeline_sources_meet_their_targets(spark, documents):
+    long = [(10_000 + k, " ".join(["w"] * n), "en", "long") for k, n in enumerate([20_000] + [50] * 300)]
+    extra = spark.createDataFrame(long, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    docs = documents.unionByName(extra)
+    sizes = source_mix.sized(docs, "doc_id", "source", "text")
+    wanted = {r.src: r.target for r in source_mix.targets(sizes, 64).collect()}
+    largest = {r.src: r[1] for r in sizes.groupBy("src").agg(F.max("size")).collect()}
+    mixed = corpus_pipeline.mixture(spark, docs, FOLDER)
+    got = {r.src: r[1] for r in source_mix.sized(mixed, "doc_id", "source", "text").groupBy("src").agg(F.sum("size")).collect()}
+    for src, target in wanted.items():
+        assert abs(got.get(src, 0) - target) <= largest[src] / 2 + 1e-6
+
+
 def test_pipeline_edges(spark, edges, empty):
     for rows in (edges, empty):
         docs = rows
