@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bioobs.llm import source_mix, url_filter
+from bioobs.llm import collocations, source_mix, url_filter, warc
 from bioobs.llm.byte_bpe import digest_documents
 from bioobs.llm.common import read_table, stored, word_count
 from bioobs.llm.html_extract import extract_pages
@@ -16,6 +16,7 @@ from bioobs.llm.lm_scoring import score_documents
 from bioobs.llm.quality_rules import judged
 from bioobs.llm.fingerprints import fingerprint_documents
 from bioobs.llm.secret_scan import scan_documents
+from bioobs.llm.token_alignment import aligned_documents
 from bioobs.llm.token_counts import TokenRollup
 from bioobs.session import shared_folder
 
@@ -124,3 +125,19 @@ def token_totals(spark: SparkSession, folder: str) -> DataFrame:
     rollup.commit(TOKEN_BATCHES[1], recount)
     rollup.commit(TOKEN_BATCHES[2], changes(counted.join(low, "doc_id", "left_semi"), "delete", "with_letters", none))
     return rollup.totals(TOKEN_BATCHES)
+
+
+@check("op11_warc", warc.ORACLE)
+def warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived_pages(read_table(spark, folder, "pages"))
+
+
+@check("op12_tokenizer_alignment")
+def tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return aligned_documents(read_table(spark, folder, "documents"), *paths)
+
+
+@check("op13_collocations", collocations.ORACLE)
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, folder, "documents"))
