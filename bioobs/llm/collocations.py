@@ -10,7 +10,8 @@ both its left and its right part could be extended into it.
 Counts are summed across shards. A phrase that is frequent has frequent words and
 frequent pairs only, so rare words are breaks, and phrases of three words and more are
 listed in a second pass over the stored indexes, along pairs that are frequent in the
-whole corpus. Every occurrence is counted; nothing is estimated.
+whole corpus. Every occurrence is counted; nothing is estimated. What shards send for
+summing is packed: sorted keys of one range and their counts, a row for each range.
 
 Defined cases: a missing text is empty; a missing lang is ``und``; a text without words
 adds nothing; repeated rows count as often as they occur; only ``lang`` and ``text`` are
@@ -31,6 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from bioobs.llm.common import stored
+from bioobs.llm.words import mixed
 from bioobs.operators.joins import broadcast_if_small
 
 # fixed values: bytes that end a piece, and the bytes of capital letters
@@ -41,10 +43,16 @@ TRANSLATE = bytes.maketrans(BREAKS + CAPITALS + b"\t", b"\xff" * len(BREAKS) + C
 
 SHARDS = pa.schema([("lang", pa.string()), ("size", pa.int64()), ("ids", pa.binary()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))])
 SHARDS_SQL = "lang string, size long, ids binary, words array<string>, times array<bigint>"
-PAIRS = pa.schema([("shard", pa.int64()), ("index", pa.binary()), ("low", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-PAIRS_SQL = "shard long, index binary, low long, n long, a long, b long"
-CHAINS = pa.schema([*[(f"p{i}", pa.int64()) for i in range(1, LONGEST)], ("n", pa.int64())])
-CHAINS_SQL = ", ".join(f"p{i} long" for i in range(1, LONGEST)) + ", n long"
+# of a shard: its index (no range), or phrases of one range of keys with their counts
+PARTS = pa.schema([("shard", pa.int64()), ("range", pa.int64()), ("index", pa.binary()), ("keys", pa.binary()), ("times", pa.binary())])
+PARTS_SQL = "shard long, range long, index binary, keys binary, times binary"
+# frequent pairs (no shard), or those of them that a shard has
+PAIRS = pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("ids", pa.list_(pa.int64())), ("f", pa.int64())])
+PAIRS_SQL = "shard long, keys binary, ids array<bigint>, f long"
+COUNTS = pa.schema([("ids", pa.list_(pa.int64())), ("f", pa.int64())])
+COUNTS_SQL = "ids array<bigint>, f long"
+# phrases are dealt over one range of keys for so many words of the corpus
+RANGE_WORDS = 1 << 20
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -170,10 +178,53 @@ def longer(forward: Index, backward: Index, known: Phrases) -> tuple[Phrases, np
     return Phrases(low, back, size).kept(left), head[right], tail[left]
 
 
-def _indexed(shards: pa.Table, frequent: pa.Table) -> pa.Table:
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Rows of word ids, sorted, column by column; the first as steps."""
+    columns = keys.T.astype(np.uint32)
+    columns[0, 1:] -= columns[0, :-1].copy()
+    return zstandard.ZstdCompressor(level=1).compress(columns.tobytes())
+
+
+def unpacked_keys(data: bytes, width: int) -> np.ndarray:
+    columns = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint32).reshape(width, -1).astype(np.int64)
+    columns[0] = np.cumsum(columns[0])
+    return columns.T
+
+
+def sorted_rows(keys: np.ndarray) -> np.ndarray:
+    return np.lexsort(keys.T[::-1])
+
+
+def dealt(shard: int, keys: np.ndarray, times: np.ndarray, ranges: int) -> pa.Table:
+    """The phrases of a shard, one row for each range of keys that has any."""
+    order = sorted_rows(keys)
+    keys, times = keys[order], times[order]
+    spread = np.zeros(len(keys), np.uint64)
+    for column in keys.T:
+        spread = mixed(spread + column.astype(np.uint64))
+    of = (spread % np.uint64(ranges)).astype(np.int64)
+    by_range = np.argsort(of, kind="stable")
+    bounds = np.flatnonzero(np.diff(of[by_range], prepend=-1))
+    rows = [(int(of[r[0]]), packed_keys(keys[r]), packed(times[r])) for r in np.split(by_range, bounds[1:]) if len(r)]
+    columns = [[shard] * len(rows), [r[0] for r in rows], [None] * len(rows), [r[1] for r in rows], [r[2] for r in rows]]
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PARTS)], schema=PARTS)
+
+
+def summed(parts: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows, the sum of their counts, and the number of the distinct row for each row."""
+    keys, times = np.concatenate(parts), np.concatenate(times).astype(np.int64)
+    order = sorted_rows(keys)
+    fresh = np.concatenate([[True], (keys[order[1:]] != keys[order[:-1]]).any(axis=1)])
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    starts = np.flatnonzero(fresh)
+    return keys[order[starts]], np.add.reduceat(times[order], starts), number
+
+
+def _indexed(ranges: int, shards: pa.Table, frequent: pa.Table) -> pa.Table:
     """The index of a shard over its frequent words, and every pair of them with its count."""
     if not len(shards) or not len(frequent):
-        return PAIRS.empty_table()
+        return PARTS.empty_table()
     ids, number = unpacked(shards.column("ids")[0].as_py()), shards.column("shard")[0].as_py()
     order = np.argsort(local := frequent.column("local").to_numpy())
     local, word = local[order], frequent.column("word").to_numpy()[order]
@@ -184,37 +235,64 @@ def _indexed(shards: pa.Table, frequent: pa.Table) -> pa.Table:
     forward = Index(Index.transform(text))
     single = words_of(forward)
     low, _, size, tail = forward.extended(single.low, single.size, single.back)
-    head = forward.first[low] - 1
-    parts = [packed(forward.bwt), packed(Index.transform(text[::-1]))]
-    index = pa.array([len(parts[0]).to_bytes(8, "little") + b"".join(parts), *[None] * len(low)], pa.binary())
-    filled = lambda x: pa.array(np.concatenate([[0], x]).astype(np.int64))
-    columns = [pa.array(np.full(len(low) + 1, number)), index, *map(filled, (low, size, word[head], word[tail]))]
-    return pa.Table.from_arrays(columns, schema=PAIRS)
-
-
-def _chains(indexes: pa.Table, frequent: pa.Table) -> pa.Table:
-    """Phrases of three words and more of a shard along frequent pairs: the pairs in order, and the count."""
+    parts = [packed(word), packed(forward.bwt), packed(Index.transform(text[::-1]))]
+    index = b"".join(len(x).to_bytes(8, "little") + x for x in parts)
+    own = pa.Table.from_arrays([pa.array([x], f.type) for x, f in zip((number, None, index, None, None), PARTS)], schema=PARTS)
+    pairs = np.column_stack([word[forward.first[low].astype(np.int64) - 1], word[tail]])
+    return pa.concat_tables([own, dealt(number, pairs, size, ranges)]) if len(low) else own
+
+
+def _frequent_pairs(least: int, blocks: pa.Table) -> pa.Table:
+    """One range of keys: pairs that are frequent over all shards, and for each shard which of its own are."""
+    parts = [unpacked_keys(x, 2) for x in blocks.column("keys").to_pylist()]
+    keys, totals, number = summed(parts, [unpacked(x) for x in blocks.column("times").to_pylist()])
+    often = totals >= least
+    bounds = np.cumsum([len(p) for p in parts])[:-1]
+    told = [(s, packed_keys(p[m])) for s, p, m in zip(blocks.column("shard").to_pylist(), parts, np.split(often[number], bounds)) if m.any()]
+    found = [(k, int(t)) for k, t in zip(keys[often].tolist(), totals[often])]
+    columns = [[s for s, _ in told] + [None] * len(found), [k for _, k in told] + [None] * len(found)]
+    columns += [[None] * len(told) + [k for k, _ in found], [None] * len(told) + [t for _, t in found]]
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PAIRS)], schema=PAIRS)
+
+
+def _longer_phrases(ranges: int, indexes: pa.Table, frequent: pa.Table) -> pa.Table:
+    """Phrases of three words and more of a shard along frequent pairs, padded with zeros, and their counts."""
     if not len(indexes) or not len(frequent):
-        return CHAINS.empty_table()
-    order = np.argsort(low := frequent.column("low").to_numpy())
-    low, chain = low[order], frequent.column("pair").to_numpy()[order][:, None]
-    blob = indexes.column("index")[0].as_py()
-    split = 8 + int.from_bytes(blob[:8], "little")
-    forward, backward = Index(unpacked(blob[8:split])), Index(unpacked(blob[split:]))
+        return PARTS.empty_table()
+    blob, number, parts = indexes.column("index")[0].as_py(), indexes.column("shard")[0].as_py(), []
+    while blob:
+        end = 8 + int.from_bytes(blob[:8], "little")
+        parts.append(unpacked(blob[8:end]))
+        blob = blob[end:]
+    word, forward, backward = parts[0].astype(np.int64), Index(parts[1]), Index(parts[2])
     single = words_of(forward)
-    at, back, size, _ = forward.extended(single.low, single.size, single.back)
-    known, found = Phrases(at, back, size).kept(np.isin(at, low, assume_unique=True)), []
-    for _ in range(3, LONGEST + 1):
+    low, back, size, tail = forward.extended(single.low, single.size, single.back)
+    words = np.column_stack([word[forward.first[low].astype(np.int64) - 1], word[tail]])
+    told = np.concatenate([unpacked_keys(x, 2) for x in frequent.column("keys").to_pylist()])
+    keep = np.isin(words[:, 0] << 32 | words[:, 1], told[:, 0] << 32 | told[:, 1])
+    known, words, found, times = Phrases(low, back, size).kept(keep), words[keep], [], []
+    for length in range(3, LONGEST + 1):
         known, head, tail = longer(forward, backward, known)
-        chain = np.hstack([chain[head], chain[tail][:, -1:]])
-        columns = [pa.array(chain[:, i]) if i < chain.shape[1] else pa.nulls(len(chain), pa.int64()) for i in range(LONGEST - 1)]
-        found.append(pa.Table.from_arrays([*columns, pa.array(known.size)], schema=CHAINS))
-    return pa.concat_tables(found)
+        words = np.hstack([words[head], words[tail][:, -1:]])
+        found.append(np.pad(words, ((0, 0), (0, LONGEST - length))))
+        times.append(known.size)
+    found = np.concatenate(found)
+    return dealt(number, found, np.concatenate(times), ranges) if len(found) else PARTS.empty_table()
+
+
+def _frequent_phrases(least: int, blocks: pa.Table) -> pa.Table:
+    keys, totals, _ = summed([unpacked_keys(x, LONGEST) for x in blocks.column("keys").to_pylist()], [unpacked(x) for x in blocks.column("times").to_pylist()])
+    often = totals >= least
+    rows = [[w for w in k if w] for k in keys[often].tolist()]
+    return pa.Table.from_arrays([pa.array(rows, COUNTS.field("ids").type), pa.array(totals[often])], schema=COUNTS)
 
 
 def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """``ids, f`` of all phrases of one to five words that occur at least ``least`` times in a language, and the
-    ``word, lang, spelled`` that the ids stand for. ``n``, the words of the language, comes with each word."""
+    """``ids, f`` of all phrases of one to five words that occur at least ``least`` times in a language, and what
+    the ids stand for: ``word, lang, spelled``, with ``n``, the number of words of the language.
+
+    Word ids are positive and stay below 2^32, or the query fails: more frequent words have no room.
+    """
     lang, text = F.coalesce(F.col("lang").cast("string"), F.lit("und")), F.col("text").cast("string")
     shards = stored(
         docs.select(lang.alias("lang"), text.alias("text")).mapInArrow(_shards, SHARDS_SQL)
@@ -226,29 +304,27 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
         "shard", "lang", (F.col("local") + 1).cast("long").alias("local"), F.col("w.words").alias("spelled"), F.col("w.times").alias("n")
     )
     frequent = uses.groupBy("lang", "spelled").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    sizes = shards.groupBy("lang").agg(F.sum("size").alias("n"))
-    # one row a language
-    words = stored(frequent.join(sizes, "lang").withColumn("word", F.monotonically_increasing_id()), "frequent-words")
+    sizes = shards.groupBy("lang").agg(F.sum("size").alias("n"))  # a row for each language
+    placed = frequent.join(sizes, "lang").withColumns({"part": F.spark_partition_id().cast("long"), "row": F.monotonically_increasing_id() % (1 << 33)})
+    placed = stored(placed, "frequent-words")
+    shape = placed.agg(F.max("part").alias("parts"), F.max("row").alias("rows")).first()
+    total = shards.agg(F.sum("size")).first()[0] or 0
+    parts, ranges = (shape.parts or 0) + 1, 1 + total // RANGE_WORDS
+    if ((shape.rows or 0) + 1) * parts + 1 >= 1 << 32:
+        raise ValueError("too many frequent words")
+    words = placed.withColumn("word", F.col("row") * parts + F.col("part") + 1).drop("part", "row")
 
     told = uses.join(broadcast_if_small(words.select("lang", "spelled", "word")), ["lang", "spelled"]).select(F.col("shard").alias("of"), "local", "word")
-    found = stored(shards.select("shard", "ids").groupBy("shard").cogroup(told.groupBy("of")).applyInArrow(_indexed, PAIRS_SQL), "phrase-index")
-    in_shards = found.where("index IS NULL").select("shard", "low", "n", "a", "b")
-    pairs = in_shards.groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    pairs = stored(pairs.withColumn("pair", F.monotonically_increasing_id()), "frequent-pairs")
+    indexed = shards.select("shard", "ids").groupBy("shard").cogroup(told.groupBy("of"))
+    found = stored(indexed.applyInArrow(lambda s, f: _indexed(ranges, s, f), PARTS_SQL), "phrase-index")
+    blocks = found.where("index IS NULL").select("shard", "range", "keys", "times")
+    pairs = stored(blocks.groupBy("range").applyInArrow(lambda t: _frequent_pairs(least, t), PAIRS_SQL), "frequent-pairs")
 
-    told = in_shards.join(broadcast_if_small(pairs.drop("f")), ["a", "b"]).select(F.col("shard").alias("of"), "low", "pair")
     indexes = found.where("index IS NOT NULL").select("shard", "index")
-    chains = indexes.groupBy("shard").cogroup(told.groupBy("of")).applyInArrow(_chains, CHAINS_SQL)
-    links = [f"p{i}" for i in range(1, LONGEST)]
-    chains = stored(chains.groupBy(*links).agg(F.sum("n").alias("f")).where(F.col("f") >= least), "frequent-chains")
-    # a chain of pairs as its words: the first word of each pair, then the second of the last
-    numbered = chains.withColumn("chain", F.monotonically_increasing_id())
-    steps = stored(numbered.select("chain", "f", F.array_compact(F.array(*links)).alias("links")), "chains")
-    each = steps.select("chain", F.posexplode("links").alias("place", "pair")).join(broadcast_if_small(pairs.drop("f")), "pair")
-    joined = each.groupBy("chain").agg(F.sort_array(F.collect_list(F.struct("place", "a", "b"))).alias("s"))
-    ids = F.concat(F.col("s.a"), F.array(F.element_at("s.b", -1)))
-    longer_ones = steps.join(joined, "chain").select(ids.alias("ids"), "f")
-    phrases = words.select(F.array("word").alias("ids"), "f").unionByName(pairs.select(F.array("a", "b").alias("ids"), "f"))
+    in_shards = pairs.where("shard IS NOT NULL").select(F.col("shard").alias("of"), "keys")
+    longer_ones = indexes.groupBy("shard").cogroup(in_shards.groupBy("of")).applyInArrow(lambda s, f: _longer_phrases(ranges, s, f), PARTS_SQL)
+    longer_ones = longer_ones.select("range", "keys", "times").groupBy("range").applyInArrow(lambda t: _frequent_phrases(least, t), COUNTS_SQL)
+    phrases = words.select(F.array("word").alias("ids"), "f").unionByName(pairs.where("shard IS NULL").select("ids", "f"))
     return stored(phrases.unionByName(longer_ones), "phrases"), words
 
 
