@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import partial
 from itertools import count
 
 import numpy as np
@@ -32,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from bioobs.llm.common import stored
-from bioobs.llm.words import mixed
+from bioobs.llm.words import mixed, span_hashes
 from bioobs.operators.joins import broadcast_if_small
 
 # fixed values: bytes that end a piece, and the bytes of capital letters
@@ -43,6 +44,12 @@ TRANSLATE = bytes.maketrans(BREAKS + CAPITALS + b"\t", b"\xff" * len(BREAKS) + C
 
 SHARDS = pa.schema([("lang", pa.string()), ("size", pa.int64()), ("ids", pa.binary()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))])
 SHARDS_SQL = "lang string, size long, ids binary, words array<string>, times array<bigint>"
+# words of one range of a shard
+BLOCKS = pa.schema([("range", pa.int64()), ("shard", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string())), ("local", pa.binary()), ("times", pa.binary())])
+BLOCKS_SQL = "range long, shard long, lang string, words array<string>, local binary, times binary"
+# frequent words (no shard), or the numbers of those that a shard has
+WORDS = pa.schema([("shard", pa.int64()), ("local", pa.binary()), ("words", pa.binary()), ("lang", pa.string()), ("spelled", pa.string()), ("f", pa.int64()), ("word", pa.int64())])
+WORDS_SQL = "shard long, local binary, words binary, lang string, spelled string, f long, word long"
 # of a shard: its index (no range), or phrases of one range of keys with their counts
 PARTS = pa.schema([("shard", pa.int64()), ("range", pa.int64()), ("index", pa.binary()), ("keys", pa.binary()), ("times", pa.binary())])
 PARTS_SQL = "shard long, range long, index binary, keys binary, times binary"
@@ -102,6 +109,51 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row(lang, shard)
 
 
+def _word_blocks(ranges: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each shard, dealt over ranges by their hashes."""
+    for batch in batches:
+        for shard, lang, words, times in zip(*batch.columns):
+            words, times = words.values, times.values.to_numpy(zero_copy_only=False)
+            if not len(words):
+                continue
+            wide = pa.types.is_large_string(words.type)
+            ends = np.frombuffer(words.buffers()[1], np.int64 if wide else np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+            raw = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+            of = (span_hashes(raw, ends[:-1] - ends[0], ends[1:] - ends[0]) % np.uint64(ranges)).astype(np.int64)
+            order = np.argsort(of, kind="stable")
+            cuts = np.flatnonzero(np.diff(of[order], prepend=-1))
+            for r in np.split(order, cuts[1:]):
+                columns = [[int(of[r[0]])], [shard.as_py()], [lang.as_py()], [words.take(pa.array(r))], [packed(r + 1)], [packed(times[r])]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, BLOCKS)], schema=BLOCKS)
+
+
+def _frequent_words(least: int, ranges: int, blocks: pa.Table) -> pa.Table:
+    """One range: words that are frequent over all shards of a language, with their numbers, and those that each shard has."""
+    blocks = blocks.combine_chunks()
+    langs = blocks.column("lang").to_pylist()
+    number, columns = 0, [[] for _ in WORDS]
+    for lang in dict.fromkeys(langs):
+        own = blocks.filter(pa.array([x == lang for x in langs]))
+        words = pa.concat_arrays([w.values for w in own.column("words")]).dictionary_encode()
+        of, times = words.indices.to_numpy(), [unpacked(x) for x in own.column("times").to_pylist()]
+        totals = np.zeros(len(words.dictionary), np.int64)
+        np.add.at(totals, of, np.concatenate(times))
+        often = np.flatnonzero(totals >= least)
+        numbers = np.zeros(len(totals), np.int64)
+        numbers[often] = (number + np.arange(len(often))) * ranges + own.column("range")[0].as_py() + 1
+        number += len(often)
+        if len(often) and numbers.max() >= 1 << 32:
+            raise ValueError("too many frequent words")
+        for shard, local, word in zip(own.column("shard").to_pylist(), own.column("local").to_pylist(), np.split(numbers[of], np.cumsum([len(t) for t in times])[:-1])):
+            if word.any():
+                for c, x in zip(columns, (shard, packed(unpacked(local)[word > 0]), packed(word[word > 0]), None, None, None, None)):
+                    c.append(x)
+        spelled = words.dictionary.take(pa.array(often)).to_pylist()
+        for c, x in zip(columns, ([None] * len(often),) * 3 + ([lang] * len(often), spelled, totals[often].tolist(), numbers[often].tolist())):
+            c.extend(x)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, WORDS)], schema=WORDS)
+
+
 class Index:
     """One direction of an FM-index over symbols 0 to ``symbols - 1``, sorted by the first ``LONGEST``."""
 
@@ -226,8 +278,9 @@ def _indexed(ranges: int, shards: pa.Table, frequent: pa.Table) -> pa.Table:
     if not len(shards) or not len(frequent):
         return PARTS.empty_table()
     ids, number = unpacked(shards.column("ids")[0].as_py()), shards.column("shard")[0].as_py()
-    order = np.argsort(local := frequent.column("local").to_numpy())
-    local, word = local[order], frequent.column("word").to_numpy()[order]
+    local, word = (np.concatenate([unpacked(x) for x in frequent.column(c).to_pylist()]).astype(np.int64) for c in ("local", "words"))
+    order = np.argsort(local)
+    local, word = local[order], word[order]
     dense = np.zeros(max(int(ids.max()), int(local[-1])) + 1, np.int64)
     dense[local] = np.arange(1, len(local) + 1)
     text = dense[ids]
@@ -299,22 +352,13 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
         .withColumn("shard", F.monotonically_increasing_id()),
         "shards",
     )
-    spelled = F.posexplode(F.arrays_zip("words", "times")).alias("local", "w")
-    uses = shards.select("shard", "lang", spelled).select(
-        "shard", "lang", (F.col("local") + 1).cast("long").alias("local"), F.col("w.words").alias("spelled"), F.col("w.times").alias("n")
-    )
-    frequent = uses.groupBy("lang", "spelled").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     sizes = shards.groupBy("lang").agg(F.sum("size").alias("n"))  # a row for each language
-    placed = frequent.join(sizes, "lang").withColumns({"part": F.spark_partition_id().cast("long"), "row": F.monotonically_increasing_id() % (1 << 33)})
-    placed = stored(placed, "frequent-words")
-    shape = placed.agg(F.max("part").alias("parts"), F.max("row").alias("rows")).first()
-    total = shards.agg(F.sum("size")).first()[0] or 0
-    parts, ranges = (shape.parts or 0) + 1, 1 + total // RANGE_WORDS
-    if ((shape.rows or 0) + 1) * parts + 1 >= 1 << 32:
-        raise ValueError("too many frequent words")
-    words = placed.withColumn("word", F.col("row") * parts + F.col("part") + 1).drop("part", "row")
-
-    told = uses.join(broadcast_if_small(words.select("lang", "spelled", "word")), ["lang", "spelled"]).select(F.col("shard").alias("of"), "local", "word")
+    ranges = 1 + (shards.agg(F.sum("size")).first()[0] or 0) // RANGE_WORDS
+    blocks = shards.select("shard", "lang", "words", "times").mapInArrow(partial(_word_blocks, ranges), BLOCKS_SQL)
+    numbered = stored(blocks.groupBy("range").applyInArrow(lambda t: _frequent_words(least, ranges, t), WORDS_SQL), "frequent-words")
+    words = numbered.where("shard IS NULL").select("lang", "spelled", "f", "word").join(sizes, "lang")
+
+    told = numbered.where("shard IS NOT NULL").select(F.col("shard").alias("of"), "local", "words")
     indexed = shards.select("shard", "ids").groupBy("shard").cogroup(told.groupBy("of"))
     found = stored(indexed.applyInArrow(lambda s, f: _indexed(ranges, s, f), PARTS_SQL), "phrase-index")
     blocks = found.where("index IS NULL").select("shard", "range", "keys", "times")
