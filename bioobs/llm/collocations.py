@@ -42,11 +42,11 @@ LONGEST, SHARD_WORDS = 5, 1 << 21
 # 0xFF is in no UTF-8 text
 TRANSLATE = bytes.maketrans(BREAKS + CAPITALS + b"\t", b"\xff" * len(BREAKS) + CAPITALS.lower() + b" ")
 
-SHARDS = pa.schema([("lang", pa.string()), ("size", pa.int64()), ("ids", pa.binary()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))])
-SHARDS_SQL = "lang string, size long, ids binary, words array<string>, times array<bigint>"
+SHARDS = pa.schema([("lang", pa.string()), ("size", pa.int64()), ("ids", pa.binary()), ("words", pa.binary()), ("times", pa.binary())])
+SHARDS_SQL = "lang string, size long, ids binary, words binary, times binary"
 # words of one range of a shard
-BLOCKS = pa.schema([("range", pa.int64()), ("shard", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string())), ("local", pa.binary()), ("times", pa.binary())])
-BLOCKS_SQL = "range long, shard long, lang string, words array<string>, local binary, times binary"
+BLOCKS = pa.schema([("range", pa.int64()), ("shard", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("local", pa.binary()), ("times", pa.binary())])
+BLOCKS_SQL = "range long, shard long, lang string, words binary, local binary, times binary"
 # frequent words (no shard), or the numbers of those that a shard has
 WORDS = pa.schema([("shard", pa.int64()), ("local", pa.binary()), ("words", pa.binary()), ("lang", pa.string()), ("spelled", pa.string()), ("f", pa.int64()), ("word", pa.int64())])
 WORDS_SQL = "shard long, local binary, words binary, lang string, spelled string, f long, word long"
@@ -72,6 +72,14 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint32 if data[0] == 4 else np.uint16)
 
 
+def packed_words(words: list[bytes]) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(b"\n".join(words))
+
+
+def unpacked_words(data: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(data).split(b"\n")
+
+
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word ids of each language's texts, the words themselves, and how often each occurs; id 0 is a break."""
 
@@ -91,8 +99,14 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def row(lang: str, shard: Shard) -> pa.RecordBatch:
         ids = np.concatenate(shard.parts)
         ids = ids[np.concatenate([[True], (ids[1:] != 0) | (ids[:-1] != 0)])]  # one break is enough
-        times = np.bincount(ids, minlength=len(shard.known))[1:]
-        columns = [[lang], [int(times.sum())], [packed(ids)], [[w.decode() for w in list(shard.known)[1:]]], [times]]
+        # numbers by spelling, so that the words pack well; the break stays 0
+        words = list(shard.known)
+        order = [0, *sorted(range(1, len(words)), key=words.__getitem__)]
+        number = np.empty(len(words), np.int64)
+        number[order] = np.arange(len(words))
+        ids = number[ids]
+        times = np.bincount(ids, minlength=len(words))[1:]
+        columns = [[lang], [int(times.sum())], [packed(ids)], [packed_words([words[i] for i in order[1:]])], [packed(times)]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SHARDS)], schema=SHARDS)
 
     open_shards: dict[str, Shard] = {}
@@ -113,17 +127,17 @@ def _word_blocks(ranges: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
     """The words of each shard, dealt over ranges by their hashes."""
     for batch in batches:
         for shard, lang, words, times in zip(*batch.columns):
-            words, times = words.values, times.values.to_numpy(zero_copy_only=False)
-            if not len(words):
+            times = unpacked(times.as_py())
+            if not len(times):
                 continue
-            wide = pa.types.is_large_string(words.type)
-            ends = np.frombuffer(words.buffers()[1], np.int64 if wide else np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
-            raw = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]]
-            of = (span_hashes(raw, ends[:-1] - ends[0], ends[1:] - ends[0]) % np.uint64(ranges)).astype(np.int64)
+            words = unpacked_words(words.as_py())
+            ends = np.cumsum([len(w) for w in words])
+            raw = np.frombuffer(b"".join(words), np.uint8)
+            of = (span_hashes(raw, np.concatenate([[0], ends[:-1]]), ends) % np.uint64(ranges)).astype(np.int64)
             order = np.argsort(of, kind="stable")
             cuts = np.flatnonzero(np.diff(of[order], prepend=-1))
             for r in np.split(order, cuts[1:]):
-                columns = [[int(of[r[0]])], [shard.as_py()], [lang.as_py()], [words.take(pa.array(r))], [packed(r + 1)], [packed(times[r])]]
+                columns = [[int(of[r[0]])], [shard.as_py()], [lang.as_py()], [packed_words([words[i] for i in r])], [packed(r + 1)], [packed(times[r])]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, BLOCKS)], schema=BLOCKS)
 
 
@@ -134,7 +148,7 @@ def _frequent_words(least: int, ranges: int, blocks: pa.Table) -> pa.Table:
     number, columns = 0, [[] for _ in WORDS]
     for lang in dict.fromkeys(langs):
         own = blocks.filter(pa.array([x == lang for x in langs]))
-        words = pa.concat_arrays([w.values for w in own.column("words")]).dictionary_encode()
+        words = pa.array([w for x in own.column("words").to_pylist() for w in unpacked_words(x)], pa.binary()).dictionary_encode()
         of, times = words.indices.to_numpy(), [unpacked(x) for x in own.column("times").to_pylist()]
         totals = np.zeros(len(words.dictionary), np.int64)
         np.add.at(totals, of, np.concatenate(times))
@@ -148,7 +162,7 @@ def _frequent_words(least: int, ranges: int, blocks: pa.Table) -> pa.Table:
             if word.any():
                 for c, x in zip(columns, (shard, packed(unpacked(local)[word > 0]), packed(word[word > 0]), None, None, None, None)):
                     c.append(x)
-        spelled = words.dictionary.take(pa.array(often)).to_pylist()
+        spelled = [w.decode() for w in words.dictionary.take(pa.array(often)).to_pylist()]
         for c, x in zip(columns, ([None] * len(often),) * 3 + ([lang] * len(often), spelled, totals[often].tolist(), numbers[often].tolist())):
             c.extend(x)
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, WORDS)], schema=WORDS)
