@@ -42,8 +42,8 @@ LONGEST, SHARD_WORDS = 5, 1 << 21
 # 0xFF is in no UTF-8 text
 TRANSLATE = bytes.maketrans(BREAKS + CAPITALS + b"\t", b"\xff" * len(BREAKS) + CAPITALS.lower() + b" ")
 
-SHARDS = pa.schema([("lang", pa.string()), ("size", pa.int64()), ("ids", pa.binary()), ("words", pa.binary()), ("times", pa.binary())])
-SHARDS_SQL = "lang string, size long, ids binary, words binary, times binary"
+SHARDS = pa.schema([("lang", pa.string()), ("size", pa.int64()), ("ids", pa.binary()), ("words", pa.binary()), ("local", pa.binary()), ("times", pa.binary())])
+SHARDS_SQL = "lang string, size long, ids binary, words binary, local binary, times binary"
 # words of one range of a shard
 BLOCKS = pa.schema([("range", pa.int64()), ("shard", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("local", pa.binary()), ("times", pa.binary())])
 BLOCKS_SQL = "range long, shard long, lang string, words binary, local binary, times binary"
@@ -63,13 +63,15 @@ RANGE_WORDS = 1 << 20
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Non-negative integers, as narrow as the largest allows, compressed."""
-    wide = len(values) and int(values.max()) >= 1 << 16
-    return bytes([4 if wide else 2]) + zstandard.ZstdCompressor(level=1).compress(values.astype(np.uint32 if wide else np.uint16).tobytes())
+    """Integers from 0 to below 2^32, as narrow as the largest allows, compressed byte by byte of the numbers."""
+    kind = np.uint32 if len(values) and int(values.max()) >= 1 << 16 else np.uint16
+    planes = np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, kind().itemsize).T)
+    return bytes([kind().itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint32 if data[0] == 4 else np.uint16)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"u{data[0]}").ravel()
 
 
 def packed_words(words: list[bytes]) -> bytes:
@@ -99,14 +101,13 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def row(lang: str, shard: Shard) -> pa.RecordBatch:
         ids = np.concatenate(shard.parts)
         ids = ids[np.concatenate([[True], (ids[1:] != 0) | (ids[:-1] != 0)])]  # one break is enough
-        # numbers by spelling, so that the words pack well; the break stays 0
-        words = list(shard.known)
-        order = [0, *sorted(range(1, len(words)), key=words.__getitem__)]
+        # frequent words get small numbers, which pack well; the break stays 0
+        words, often = list(shard.known), np.bincount(ids)
         number = np.empty(len(words), np.int64)
-        number[order] = np.arange(len(words))
-        ids = number[ids]
-        times = np.bincount(ids, minlength=len(words))[1:]
-        columns = [[lang], [int(times.sum())], [packed(ids)], [packed_words([words[i] for i in order[1:]])], [packed(times)]]
+        number[np.concatenate([[0], 1 + np.argsort(-often[1:], kind="stable")])] = np.arange(len(words))
+        spelled = sorted(range(1, len(words)), key=words.__getitem__)
+        columns = [[lang], [int(often[1:].sum())], [packed(number[ids])], [packed_words([words[i] for i in spelled])]]
+        columns += [[packed(number[spelled])], [packed(often[spelled])]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SHARDS)], schema=SHARDS)
 
     open_shards: dict[str, Shard] = {}
@@ -126,8 +127,8 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _word_blocks(ranges: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of each shard, dealt over ranges by their hashes."""
     for batch in batches:
-        for shard, lang, words, times in zip(*batch.columns):
-            times = unpacked(times.as_py())
+        for shard, lang, words, local, times in zip(*batch.columns):
+            local, times = unpacked(local.as_py()), unpacked(times.as_py())
             if not len(times):
                 continue
             words = unpacked_words(words.as_py())
@@ -137,7 +138,7 @@ def _word_blocks(ranges: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
             order = np.argsort(of, kind="stable")
             cuts = np.flatnonzero(np.diff(of[order], prepend=-1))
             for r in np.split(order, cuts[1:]):
-                columns = [[int(of[r[0]])], [shard.as_py()], [lang.as_py()], [packed_words([words[i] for i in r])], [packed(r + 1)], [packed(times[r])]]
+                columns = [[int(of[r[0]])], [shard.as_py()], [lang.as_py()], [packed_words([words[i] for i in r])], [packed(local[r])], [packed(times[r])]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, BLOCKS)], schema=BLOCKS)
 
 
@@ -248,11 +249,11 @@ def packed_keys(keys: np.ndarray) -> bytes:
     """Rows of word ids, sorted, column by column; the first as steps."""
     columns = keys.T.astype(np.uint32)
     columns[0, 1:] -= columns[0, :-1].copy()
-    return zstandard.ZstdCompressor(level=1).compress(columns.tobytes())
+    return packed(columns.ravel())
 
 
 def unpacked_keys(data: bytes, width: int) -> np.ndarray:
-    columns = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint32).reshape(width, -1).astype(np.int64)
+    columns = unpacked(data).reshape(width, -1).astype(np.int64)
     columns[0] = np.cumsum(columns[0])
     return columns.T
 
@@ -368,7 +369,7 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     )
     sizes = shards.groupBy("lang").agg(F.sum("size").alias("n"))  # a row for each language
     ranges = 1 + (shards.agg(F.sum("size")).first()[0] or 0) // RANGE_WORDS
-    blocks = shards.select("shard", "lang", "words", "times").mapInArrow(partial(_word_blocks, ranges), BLOCKS_SQL)
+    blocks = shards.select("shard", "lang", "words", "local", "times").mapInArrow(partial(_word_blocks, ranges), BLOCKS_SQL)
     numbered = stored(blocks.groupBy("range").applyInArrow(lambda t: _frequent_words(least, ranges, t), WORDS_SQL), "frequent-words")
     words = numbered.where("shard IS NULL").select("lang", "spelled", "f", "word").join(sizes, "lang")
 
