@@ -64,20 +64,79 @@ def _customer_taxa(spark, d):
 
 
 @check("q_csv", """
-SELECT c_custkey AS cust_key, c_name AS x1st_name, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_acctbal END AS balance
+SELECT c_custkey AS cust_key, c_name || CASE WHEN c_custkey % 3 = 0 THEN ', the "' || c_mktsegment || '"' ELSE '' END AS x1st_name,
+       CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_acctbal END AS balance
 FROM customer
 """)
 def q_csv(spark, d):
+    said = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(', the "'), "c_mktsegment", F.lit('"'))).otherwise("")
     rows = table(spark, d, "customer").select(
         F.col("c_custkey").alias("Cust Key"),
-        F.col("c_name").alias("1st Name"),
+        F.concat("c_name", said).alias("1st Name"),
         F.when(F.col("c_custkey") % 9 == 0, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string")).alias("Balance"),
     )
     path = shared_folder(spark, "csv")
-    rows.write.option("header", True).csv(path)
+    rows.write.option("header", True).option("escape", '"').csv(path)
     return read_csv(spark, path, {"cust_key": "bigint", "balance": "double"})
 
 
+@check("q_csv_infer", """
+SELECT o_orderkey AS key, o_orderkey % 2 = 0 AS flag, o_totalprice AS price,
+       CASE WHEN o_orderkey % 4 <> 0 THEN strftime(o_orderdate, '%d.%m.%Y') END AS day,
+       CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 0.5 ELSE (o_orderkey % 100)::DOUBLE END AS late_double,
+       CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'none' ELSE (o_orderkey % 100)::VARCHAR END AS late_text,
+       lpad((o_orderkey % 1000)::VARCHAR, 4, '0') AS code, '0' || (o_orderkey % 10) || ':30' AS at,
+       'key bigint, flag boolean, price double, day date, late_double double, late_text string, code string, at string' AS types
+FROM orders
+""")
+def q_csv_infer(spark, d):
+    """Types from all values: two columns show theirs only in the last line of the last file."""
+    orders = table(spark, d, "orders")
+    key = F.col("o_orderkey")
+    last = key == orders.agg(F.max("o_orderkey")).scalar()
+    rows = orders.select(
+        key.alias("Key"),
+        F.when(key % 2 == 0, "TRUE").otherwise("F").alias("flag"),
+        F.col("o_totalprice").alias("price"),
+        F.when(key % 4 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
+        F.when(last, "0.5").otherwise((key % 100).cast("string")).alias("late double"),
+        F.when(last, "none").otherwise((key % 100).cast("string")).alias("late text"),
+        F.lpad((key % 1000).cast("string"), 4, "0").alias("code"),
+        F.concat(F.lit("0"), (key % 10).cast("string"), F.lit(":30")).alias("at"),
+    )
+    path = shared_folder(spark, "csv-infer")
+    rows.repartitionByRange(4, "Key").sortWithinPartitions("Key").write.option("header", True).option("nullValue", "NA").csv(path)
+    df = read_csv(spark, path, infer=True)
+    df = df.withColumn("types", F.lit(", ".join(f"{c} {t}" for c, t in df.dtypes)))
+    return df.withColumn("day", F.date_format("day", "dd.MM.yyyy"))
+
+
+@check("q_csv_multiline", """
+SELECT c_custkey AS key, c_name AS name, c_mktsegment ||
+       CASE c_custkey % 5 WHEN 0 THEN chr(10) || 'second, "line"' WHEN 1 THEN chr(10) || chr(10) || c_name || repeat(chr(10) || 'more', (c_custkey % 300)::INT)
+                          WHEN 2 THEN '""' ELSE '' END AS note
+FROM customer
+""")
+def q_csv_multiline(spark, d):
+    """One file, line breaks inside quotes, records longer than a split, and many more tasks than files."""
+    key, line = F.col("c_custkey"), F.lit("\n")
+    more = F.expr("repeat('\nmore', CAST(c_custkey % 300 AS INT))")
+    note = (
+        F.when(key % 5 == 0, F.concat(line, F.lit('second, "line"')))
+        .when(key % 5 == 1, F.concat(line, line, F.col("c_name"), more))
+        .when(key % 5 == 2, F.lit('""'))
+        .otherwise("")
+    )
+    rows = table(spark, d, "customer").select(key.alias("Key"), F.col("c_name").alias("Name"), F.concat("c_mktsegment", note).alias("Note"))
+    path = shared_folder(spark, "csv-lines")
+    rows.coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+    narrow = spark.newSession()
+    narrow.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    narrow.conf.set("spark.sql.files.openCostInBytes", "0")
+    narrow.conf.set("spark.sql.files.minPartitionNum", "64")
+    return read_csv(narrow, path, {"key": "bigint"}, multi_line=True)
+
+
 @check("q_latest_snapshot", """
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS snapshot_date FROM orders
 WHERE strftime(o_orderdate, '%Y-%m') = (SELECT max(strftime(o_orderdate, '%Y-%m')) FROM orders)

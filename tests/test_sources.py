@@ -1,9 +1,14 @@
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from bioobs.functions.rings import planar_area
 from bioobs.session import shared_folder
-from bioobs.sources.readers import list_files, read_csv, read_kml, scan_data_files, scan_parquet
+from bioobs.sources.csv_types import LATTICE, infer_types
+from bioobs.sources.readers import csv_rejects, list_files, read_csv, read_kml, scan_data_files, scan_parquet
 from bioobs.sources.sinks import write_partitioned, write_table
 
 KML = """<?xml version="1.0" encoding="UTF-8"?>
@@ -91,3 +96,77 @@ def test_csv_quotes(spark, tmp_path):
     (tmp_path / "q.csv").write_text('Name,V\n"a ""b"", c",1\n"two\nlines",2\n')
     got = read_csv(spark, str(tmp_path / "q.csv"), {"v": "int"}, multi_line=True).collect()
     assert [tuple(r) for r in got] == [('a "b", c', 1), ("two\nlines", 2)]
+
+
+@pytest.mark.parametrize("values, kind", [
+    (["T", "false", None], "logical"), (["1", "-20", "0"], "integer"), (["1", "2.5", ".5", "5.", "1e-3", "Inf", "NaN"], "double"),
+    (["123456789012345678901"], "double"), (["007", "1"], "text"), (["00.5"], "text"), (["."], "text"), (["1", "T"], "text"),
+    (["2024-02-29", None], "date"), (["2023-02-29"], "text"), (["2024-01-02", "2024-01-02T03:04:05Z"], "datetime"),
+    (["2024-01-02 03:04"], "datetime"), (["03:04", "23:59:59.5"], "time"), (["24:00"], "text"), (["5d", "1"], "text"),
+    ([None, None], "logical"), ([], "logical"), (["x"], "text"),
+])
+def test_inferred_type(spark, values, kind):
+    df = spark.createDataFrame([(v,) for v in values], "`a.b` string").repartition(3)
+    assert infer_types(df) == {"a.b": kind} and kind in (*LATTICE, "text")
+
+
+def test_inferred_values(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("When,N,Day,Seen,Id\n2024-01-02 03:04:05,-Inf,2024-02-29,T,01\nNA,2.5,,F,12\n")
+    df = read_csv(spark, str(tmp_path / "t.csv"), {"id": "int"}, infer=True, position=True)
+    assert dict(df.dtypes[:5]) == {"when": "timestamp", "n": "double", "day": "date", "seen": "boolean", "id": "int"}
+    rows = sorted(map(tuple, df.drop("_file", "_block", "_position").collect()), key=lambda r: r[4])
+    assert [r[1:2] + r[3:] for r in rows] == [(float("-inf"), True, 1), (2.5, False, 12)]
+    assert str(rows[0][2]) == "2024-02-29" and rows[1][0] is None
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_short_and_long_lines(spark, tmp_path, multi_line):
+    path = str(tmp_path / "bad.csv")
+    (tmp_path / "bad.csv").write_text('a,b\n1,2\n3\n4,5,6\n\n7,"8,9"\n')
+    with pytest.raises(Exception, match="too few or too many fields"):
+        read_csv(spark, path, multi_line=multi_line).collect()
+    with pytest.raises(Exception, match="too few or too many fields"):
+        read_csv(spark, path, multi_line=multi_line).select("b").collect()
+    kept = read_csv(spark, path, multi_line=multi_line, bad_lines="drop")
+    assert sorted(map(tuple, kept.collect())) == [("1", "2"), ("7", "8,9")] and kept.count() == 2
+    assert sorted(r.record for r in csv_rejects(spark, path, multi_line).collect()) == ["3", "4,5,6"]
+
+
+def narrow_session(spark, size):
+    session = spark.newSession()
+    for key, value in {"maxPartitionBytes": size, "openCostInBytes": 0, "minPartitionNum": 64}.items():
+        session.conf.set(f"spark.sql.files.{key}", str(value))
+    return session
+
+
+@pytest.mark.parametrize("size, end", [(7, "\n"), (64, "\r\n"), (900, "\n")])
+def test_line_breaks_in_quotes(spark, tmp_path, size, end):
+    """Any splits, also inside quotes and with records over many splits, give what Python's reader gives."""
+    dice = random.Random(size)
+    words = ["a", '"', ",", "\n", "é", "x y", '""', "\n\n", "long " * 30]
+    want = []
+    for i in range(3):
+        rows = [[f"{i}-{k}", "".join(dice.choice(words) for _ in range(dice.randrange(6))) + "|", "z"] for k in range(40)]
+        text = io.StringIO()
+        csv.writer(text, lineterminator=end).writerows([["Key", "Some Text", "Last\nname"], *rows])
+        (tmp_path / f"f{i}.csv").write_bytes(text.getvalue().encode())
+        want += [tuple(r) for r in rows]
+    df = read_csv(narrow_session(spark, size), str(tmp_path), multi_line=True, position=True)
+    assert df.columns[:3] == ["key", "some_text", "last_name"] and df.rdd.getNumPartitions() > 3
+    rows = df.collect()
+    assert sorted(tuple(r)[:3] for r in rows) == sorted(want)
+    in_order = sorted(rows, key=lambda r: (r._file, r._block, r._position))
+    assert [r.key for r in in_order] == [w[0] for w in want]
+
+
+def test_quotes_that_do_not_close(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('a,b\n1,"x\n2,y\n')
+    with pytest.raises(ValueError, match="do not close"):
+        read_csv(spark, str(tmp_path / "q.csv"), multi_line=True)
+
+
+def test_headers_of_files_with_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b\n1,"x\ny"\n')
+    (tmp_path / "b.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="another header"):
+        read_csv(spark, str(tmp_path), multi_line=True).collect()
