@@ -113,14 +113,14 @@ def q_csv_infer(spark, d):
 
 @check("q_csv_multiline", """
 SELECT c_custkey AS key, c_name AS name, c_mktsegment ||
-       CASE c_custkey % 5 WHEN 0 THEN chr(10) || 'second, "line"' WHEN 1 THEN chr(10) || chr(10) || c_name || repeat(chr(10) || 'more', (c_custkey % 300)::INT)
+       CASE c_custkey % 5 WHEN 0 THEN chr(10) || 'second, "line"' WHEN 1 THEN chr(10) || chr(10) || c_name || repeat(chr(10) || 'more', CASE WHEN c_custkey % 500 = 1 THEN 4000 ELSE (c_custkey % 30)::INT END)
                           WHEN 2 THEN '""' ELSE '' END AS note
 FROM customer
 """)
 def q_csv_multiline(spark, d):
     """One file, line breaks inside quotes, records longer than a split, and many more tasks than files."""
     key, line = F.col("c_custkey"), F.lit("\n")
-    more = F.expr("repeat('\nmore', CAST(c_custkey % 300 AS INT))")
+    more = F.expr("repeat('\nmore', IF(c_custkey % 500 = 1, 4000, CAST(c_custkey % 30 AS INT)))")
     note = (
         F.when(key % 5 == 0, F.concat(line, F.lit('second, "line"')))
         .when(key % 5 == 1, F.concat(line, line, F.col("c_name"), more))
@@ -131,7 +131,7 @@ def q_csv_multiline(spark, d):
     path = shared_folder(spark, "csv-lines")
     rows.coalesce(1).write.option("header", True).option("escape", '"').csv(path)
     narrow = spark.newSession()
-    narrow.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    narrow.conf.set("spark.sql.files.maxPartitionBytes", "16384")
     narrow.conf.set("spark.sql.files.openCostInBytes", "0")
     narrow.conf.set("spark.sql.files.minPartitionNum", "64")
     return read_csv(narrow, path, {"key": "bigint"}, multi_line=True)
