@@ -33,6 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from bioobs.llm.common import stored
+from bioobs.llm.packing import packed, unpacked
 from bioobs.llm.words import mixed, span_hashes
 from bioobs.operators.joins import broadcast_if_small
 
@@ -62,18 +63,6 @@ COUNTS_SQL = "ids array<bigint>, f long"
 RANGE_WORDS = 1 << 20
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Integers from 0 to below 2^32, as narrow as the largest allows, compressed byte by byte of the numbers."""
-    kind = np.uint32 if len(values) and int(values.max()) >= 1 << 16 else np.uint16
-    planes = np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, kind().itemsize).T)
-    return bytes([kind().itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(data[0], -1)
-    return np.ascontiguousarray(planes.T).view(f"u{data[0]}").ravel()
-
-
 def packed_words(words: list[bytes]) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(b"\n".join(words))
 

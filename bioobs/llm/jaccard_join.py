@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from bioobs.llm.common import arrow_schema, batch_of, map_rows, stored
 from bioobs.llm.components import components
+from bioobs.llm.packing import packed, unpacked
 from bioobs.llm.shingles import (
     bit_sketch,
     chosen_keys,
@@ -60,6 +61,8 @@ PIECE_ROWS = 4_096
 # blocks a task counts at a time, and how often one must occur there to be reported
 COUNTED_BLOCKS = 3_000_000
 REPORTED = 8
+# about how many blocks a document gives; only the widths of keys and ranges depend on it
+BLOCKS_OF_DOCUMENT = 256
 # pairs that a group may give at first, by its rows
 PAIRS_PER_ROW = 4
 # pairs a task remembers having given
@@ -67,7 +70,7 @@ REMEMBERED_PAIRS = 200_000
 # a block is frequent if it occurs this often, or in one of so many documents
 FREQUENT, FREQUENT_SHARE = 16, 5_000
 
-SURVEY = "doc_id long, n long, class long, sketch binary, key long, times long, short long"
+SURVEY = "doc_id long, text_hash long, n long, class long, sketch binary, key long, times long, short long"
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
@@ -91,14 +94,14 @@ class _Survey:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 out = []
-                for doc_id, text in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns)):
+                for doc_id, text, text_hash in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns)):
                     values = shingle_set(text)
                     sketch = bit_sketch(values) if len(values) else None
-                    out.append((doc_id, len(values), class_of(values), sketch, None, None, None))
+                    out.append((doc_id, text_hash, len(values), class_of(values), sketch, None, None, None))
                     for grid in grids_of(len(values)) if len(values) else ():
                         keys = sketch_keys(values, grid, False)
                         if len(keys) <= differences(len(values), grid):
-                            out.append((None,) * 6 + (grid,))
+                            out.append((None,) * 7 + (grid,))
                         blocks.append(keys)
                         count += len(keys)
                 yield batch_of(out, schema)
@@ -113,20 +116,27 @@ class _Survey:
         keys, times = np.unique(np.concatenate(blocks), return_counts=True)
         often = times >= REPORTED
         pairs = zip(_signed(keys[often]).tolist(), times[often].tolist())
-        return batch_of([(None, None, None, None, k, t, None) for k, t in pairs], schema)
+        return batch_of([(None,) * 5 + (k, t, None) for k, t in pairs], schema)
+
+
+BLOCKS = "range long, start long, steps binary, classes binary, place binary"
 
 
 class _Blocks:
-    """``key, class`` for the chosen blocks of each class the task meets."""
+    """The chosen blocks of each class the task meets, packed: a row for each range of keys.
+
+    Of a key the highest ``bits`` stay. They name a block well enough: two that share
+    them are one more pair to test.
+    """
 
-    def __init__(self, common, levels, plain: set[int]):
-        self.common, self.levels, self.plain = common, levels, plain
+    def __init__(self, common, levels, plain: set[int], bits: int, ranges: int):
+        self.common, self.levels, self.plain, self.bits, self.ranges = common, levels, plain, bits, ranges
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
+        keys, names, count = [], [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                keys, names = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
                 for text in batch.column(0).slice(at, 512).to_pylist():
                     values = shingle_set(text)
                     name = class_of(values)
@@ -142,10 +152,47 @@ class _Blocks:
                         )
                         keys.append(own)
                         names.append(np.full(len(own), name, np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(np.concatenate(keys))), pa.array(np.concatenate(names))],
-                    names=["key", "class"],
-                )
+                        count += len(own)
+                if count >= COUNTED_BLOCKS:
+                    yield self._packed(np.concatenate(keys), np.concatenate(names))
+                    keys, names, count = [], [], 0
+        if keys:
+            yield self._packed(np.concatenate(keys), np.concatenate(names))
+
+    def _packed(self, keys: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(keys)
+        keys, names = (keys[order] >> np.uint64(64 - self.bits)).astype(np.int64), names[order]
+        of = (keys >> (self.bits - 24)) * self.ranges >> 24
+        bounds = np.flatnonzero(np.diff(of, prepend=-1))
+        rows = []
+        for lo, hi in zip(bounds, [*bounds[1:], len(of)]):
+            classes, place = np.unique(names[lo:hi], return_inverse=True)
+            steps = packed(np.diff(keys[lo:hi], prepend=keys[lo]))
+            rows.append((int(of[lo]), int(keys[lo]), steps, classes.tobytes(), packed(place)))
+        return batch_of(rows, arrow_schema(BLOCKS))
+
+
+def _unpacked_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_Blocks`` sorted by range to ``key, class``, sorted: one range in memory at a time."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(c.to_pylist() for c in batch.columns))
+
+    for _, own in groupby(rows(), key=lambda r: r[0]):
+        keys, names = [], []
+        for _, start, steps, classes, place in own:
+            keys.append(start + np.cumsum(unpacked(steps).astype(np.int64)))
+            names.append(np.frombuffer(classes, np.int64)[unpacked(place)])
+        keys, names = np.concatenate(keys), np.concatenate(names)
+        order = np.lexsort((names, keys))
+        for at in range(0, len(order), 1 << 16):
+            part = order[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(names[part])], names=["key", "class"])
+
+
+def _shared_of_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _shared_blocks(_unpacked_blocks(batches))
 
 
 def _shared_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,13 +371,18 @@ class JaccardJoin:
         self.spark: SparkSession = docs.sparkSession
         self.docs = docs.select(
             docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text")
-        )
+        ).withColumn("text_hash", F.xxhash64("text"))
         survey = stored(self.docs.mapInArrow(_Survey(), SURVEY), "survey")
-        self.members = survey.where(F.col("n").isNotNull()).select("doc_id", "n", "class")
+        self.members = survey.where(F.col("n").isNotNull()).select("doc_id", "text_hash", "n", "class")
         self.sketches = stored(
             survey.where(F.col("class").isNotNull())
             .groupBy("class")
-            .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
+            .agg(
+                F.min("doc_id").alias("doc_id"),
+                F.min(F.struct("doc_id", "text_hash")).alias("row"),
+                F.first("n").alias("n"),
+                F.first("sketch").alias("sketch"),
+            ),
             "sketches",
         )
         self.survey = survey
@@ -351,12 +403,15 @@ class JaccardJoin:
         order = np.argsort(keys)
         levels = np.log2(common["times"].to_numpy(np.int64)[order]).astype(np.int64)
         short = self.survey.where(F.col("short").isNotNull()).select("short").distinct().collect()
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        # as many key bits as tell nearly all blocks apart, and ranges of about as many blocks as a task packs
+        bits = min(60, max(40, (documents * BLOCKS_OF_DOCUMENT).bit_length() + 14))
+        ranges = max(parts, documents * BLOCKS_OF_DOCUMENT // COUNTED_BLOCKS)
         blocks = self.docs.select("text").mapInArrow(
-            _Blocks(keys[order], levels, {r.short for r in short}), "key long, class long"
+            _Blocks(keys[order], levels, {r.short for r in short}, bits, ranges), BLOCKS
         )
-        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        dealt = blocks.repartition(parts, "key").sortWithinPartitions("key", "class")
-        return stored(dealt.mapInArrow(_shared_blocks, "key long, class long, first long"), "blocks")
+        dealt = blocks.repartition(parts, "range").sortWithinPartitions("range")
+        return stored(dealt.mapInArrow(_shared_of_packed, "key long, class long, first long"), "blocks")
 
     def sketched(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs(a, b)`` that their bit sketches let pass."""
@@ -386,17 +441,11 @@ class JaccardJoin:
         """Those of ``pairs(a, b)`` whose sets link."""
         pairs = stored(pairs.distinct(), "pairs")
         needed = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        # any row of the class will do: those with the smallest id, or without any
-        chosen = stored(self.sketches.join(needed, "class", "left_semi").select("class", "doc_id"), "needed")
-        texts = stored(
-            self.docs.join(broadcast_if_small(chosen.where(F.col("doc_id").isNotNull())), "doc_id").select(
-                "class", "text"
-            ),
-            "texts",
-        )
-        if chosen.where(F.col("doc_id").isNull()).limit(1).count():
-            texts = texts.unionByName(self._without_id(chosen))
-        texts = texts.dropDuplicates(["class"])
+        # one row of the class, known by its id and text: ids may repeat, and be missing
+        chosen = stored(self.sketches.join(needed, "class", "left_semi").select("class", "row.*"), "needed")
+        at = broadcast_if_small(chosen.toDF("class", "id", "hash"))
+        same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+        texts = stored(self.docs.join(at, same).select("class", "text"), "texts").dropDuplicates(["class"])
 
         cached: dict[int, np.ndarray] = {}
 
@@ -411,13 +460,6 @@ class JaccardJoin:
         tested = map_rows(joined, ["a", "b", "text_a", "text_b"], test, "a long, b long, linked boolean", chunk=128)
         return stored(tested.where("linked").select("a", "b"), "linked")
 
-    def _without_id(self, chosen: DataFrame) -> DataFrame:
-        """Texts of classes all of whose rows lack an id."""
-        named = map_rows(
-            self.docs.where(F.col("doc_id").isNull()), ["text"], lambda t: (class_of(shingle_set(t)), t), "class long, text string"
-        )
-        return named.join(chosen.where(F.col("doc_id").isNull()).select("class"), "class", "left_semi")
-
     def labelled(self, blocks: DataFrame, labels: DataFrame) -> DataFrame:
         """``key, class, label`` of the keys that more than two classes have."""
         own = labels.select(F.col("node").alias("class"), F.col("component").alias("label"))
@@ -490,18 +532,54 @@ class JaccardJoin:
         return found
 
 
+    def of_classes(self) -> DataFrame:
+        """``class, component``: the name of the class's component."""
+        joined = components(self.links()).toDF("class", "component")
+        named = self.sketches.select("class", "doc_id").join(joined, "class", "left")
+        return named.withColumn("component", F.coalesce("component", "class"))
+
+
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row.
 
     Two documents link if 100 * intersection >= 75 * union of their shingle sets;
-    ``component_id`` is the smallest id reachable by links.
+    ``component_id`` is the smallest id reachable by links. Rows are told apart by id
+    and text, so an id that repeats with another text names both.
     """
     run = JaccardJoin(docs, id_column, text_column)
-    joined = components(run.links()).toDF("class", "component")
-    named = run.sketches.select("class", "doc_id").join(joined, "class", "left")
-    named = named.withColumn("component", F.coalesce("component", "class"))
+    named = run.of_classes()
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_class = named.join(smallest, "component").select("class", "component_id")
     return run.members.join(of_class, "class", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", F.when(F.col("class").isNull(), F.col("doc_id"))).alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, of each group of like ones only one.
+
+    That with the smallest id stays, one without an id only if none has one; of rows that
+    agree in id and text the first by all columns. Rows without words are like nothing
+    and all stay.
+    """
+    run = JaccardJoin(docs, id_column, text_column)
+    rows = run.members.where(F.col("class").isNotNull()).groupBy("doc_id", "text_hash", "class").agg(F.count("*").alias("rows"))
+    grouped = stored(rows.join(run.of_classes().select("class", "component"), "class"), "grouped-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    winners = grouped.groupBy("component").agg(first)
+    judged = grouped.join(winners, "component").withColumn(
+        "stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    )
+    judged = stored(judged.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "rows", "stays"), "judged-rows")
+    keyed = docs.withColumn("__own", F.xxhash64(docs[text_column].cast("string")))
+    same = lambda side: docs[id_column].cast("long").eqNullSafe(side["__id"]) & (keyed["__own"] == side["__hash"])
+    out = broadcast_if_small(judged.where(~F.col("stays") | (F.col("rows") > 1)).select("__id", "__hash"))
+    left = keyed.join(out, same(out), "left_anti").select(*docs.columns)
+    twice = judged.where(F.col("stays") & (F.col("rows") > 1)).select("__id", "__hash")
+    if not twice.limit(1).count():
+        return left
+    # equal rows are one after a partial aggregate, however many they are
+    twice = broadcast_if_small(twice)
+    copies = keyed.join(twice, same(twice), "left_semi")
+    one = copies.groupBy(F.col(id_column).alias("__id"), "__own").agg(F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("__r"))
+    return left.unionByName(one.select("__r.*"))

@@ -72,7 +72,7 @@ def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 @check("op8_source_mix", source_mix.ORACLE)
 def mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
-    return source_mix.mix_documents(read_table(spark, folder, "documents")).drop("first_block_taken")
+    return source_mix.mix_documents(read_table(spark, folder, "documents")).drop("whole_times")
 
 
 @check("op9_url_filter", url_filter.ORACLE)

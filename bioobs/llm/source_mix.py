@@ -46,10 +46,10 @@ def _number(text: Column, digits: int) -> Column:
 
 
 def sized(docs: DataFrame, id_column: str, source_column: str, text_column: str) -> DataFrame:
-    """``doc_id, src, size``: ``src`` orders by code point with missing sources last."""
-    source = docs[source_column].cast("string")
+    """``doc_id, src, size``: ``src`` orders by code point with missing sources last. Ids are text or numbers."""
+    source, own = docs[source_column].cast("string"), docs[id_column]
     return docs.select(
-        docs[id_column].cast("long").alias("doc_id"),
+        (own if docs.schema[id_column].dataType.typeName() == "string" else own.cast("long")).alias("doc_id"),
         F.when(source.isNull(), F.lit("z")).otherwise(F.concat(F.lit("a"), source)).alias("src"),
         word_count(docs[text_column]).alias("size"),
     )
@@ -160,10 +160,10 @@ def mix_documents(
     block_words: int = BLOCK_WORDS,
     shard_slots: int = SHARD_SLOTS,
 ) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, taken, first_block_taken``.
+    """One row per document: ``doc_id, size, source_size, target, taken, whole_times``.
 
     ``taken`` counts the words that the mix takes of it, repeats included.
-    ``first_block_taken`` is for those who take documents whole: how often to take this
+    ``whole_times`` is for those who take documents whole: how often to take this
     one, so that every source comes within half of one document to its target. Each is
     taken as often as the target holds its source, and those that begin the row of words
     (which is by a hash of the id) once more, up to the middle of the last.
@@ -205,7 +205,7 @@ def mix_documents(
     return (
         taken.unionByName(empty)
         .join(per_source, "src")
-        .select("doc_id", "size", "source_size", "target", "taken", whole.alias("first_block_taken"))
+        .select("doc_id", "size", "source_size", "target", "taken", whole.alias("whole_times"))
     )
 
 

@@ -506,11 +506,78 @@ def test_pipeline(spark, documents, texts):
     left = {i for i, (_, c) in classes.items() if i == c}
     scanner = secret_scan.build_scanner()
     clean = {i: secret_scan.redacted(texts[i], scanner.spans(texts[i]), secret_scan.RULES) for i in left}
-    table = spark.createDataFrame(list(clean.items()), "doc_id long, text string").join(documents.select("doc_id", "source"), "doc_id")
-    times = {r.doc_id: r.first_block_taken for r in source_mix.mix_documents(table).collect()}
+    got = [(r.doc_id, r.decoded_sha256) for r in corpus_pipeline.run(spark, FOLDER).collect()]
+    of = {r.doc_id: r.source for r in documents.select("doc_id", "source").collect()}
+    times = whole_times_by_hand([(i, clean[i], of[i]) for i in left])
     expected = sorted((i, hashlib.sha256(clean[i].encode()).hexdigest()) for i in left for _ in range(times[i]))
-    got = sorted((r.doc_id, r.decoded_sha256) for r in corpus_pipeline.run(spark, FOLDER).collect())
-    assert got == expected and len(corpus_pipeline.STAGES) == 5
+    assert sorted(got) == expected and len(corpus_pipeline.STAGES) == 5
+
+
+def whole_times_by_hand(rows):
+    """How often the mix takes each (id, text, source) whole, by the definition and in plain loops."""
+    size = {i: len(WORD.findall(t)) for i, t, _ in rows}
+    by_source = {}
+    for i, t, source in rows:
+        by_source.setdefault((source is None, source or ""), []).append((i, t))
+    total = {s: sum(size[i] for i, _ in own) for s, own in by_source.items()}
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sorted(by_source))}
+    share, capped = dict.fromkeys(total, 0.0), set()
+    while True:  # what is above three times a source goes to the others by weight
+        room = sum(total.values()) - sum(3 * total[s] for s in capped)
+        free = sum(weight[s] for s in total if s not in capped)
+        share = {s: 3 * total[s] if s in capped else room * weight[s] / free for s in total}
+        over = {s for s in total if share[s] > 3 * total[s]}
+        if not over:
+            break
+        capped |= over
+    times = {}
+    for s, own in by_source.items():
+        key = lambda r: f"{r[0]}|{hashlib.md5(r[1].encode()).hexdigest()}"
+        own.sort(key=lambda r: (int(hashlib.md5(key(r).encode()).hexdigest()[:3], 16), key(r), size[r[0]]))
+        full, begin = int(share[s] // total[s]) if total[s] else 0, 0
+        for i, _ in own:
+            times[i] = (full + (begin + size[i] / 2 < share[s] - full * total[s])) if size[i] else 0
+            begin += size[i]
+    return times
+
+
+def test_pipeline_keeps_texts_of_repeated_and_missing_ids(spark, texts):
+    words = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
+    a, b, c = words("a", 60), words("b", 60), words("c", 60)
+    rows = [(1, a), (2, a), (2, c), (3, b), (3, c + " more"), (None, words("d", 60)), (None, words("d", 60)), (None, b), (None, ""), (4, None)]
+    rows += [(None, words(f"n{k}x", 50)) for k in range(6)]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    docs = docs.withColumn("n_chars", F.length("text").cast("long"))
+    one = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    want = [(1, a), (2, c), (3, b), (None, words("d", 60)), (None, ""), (4, None)] + rows[10:]
+    assert sorted(((r.doc_id, r.text) for r in one.collect()), key=str) == sorted(want, key=str) and one.columns == docs.columns
+    mixed = corpus_pipeline.mixture(spark, one, FOLDER).collect()
+    assert sorted(((r.doc_id, r.text) for r in mixed), key=str) == sorted([w for w in want if w[1]], key=str)
+
+
+def test_join_tells_rows_of_one_id_apart(spark):
+    words = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
+    a, b = words("a", 100), words("b", 100)
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (None, words("c", 90)), (None, words("c", 90) + " z"), (None, words("e", 9)), (7, words("e", 9))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs).collect())
+    assert got == Counter([(1, 96, 1), (1, 96, 1), (2, 97, 1), (3, 97, 1), (None, 86, None), (None, 87, None), (None, 5, 7), (7, 5, 7)])
+
+
+def test_blocks_pack_and_unpack():
+    """Any bits, ranges and sizes give the keys' highest bits with their classes, sorted."""
+    dice = np.random.default_rng(3)
+    for bits, ranges, n in ((40, 1, 5), (47, 7, 3000), (60, 300, 2000), (40, 5, 0)):
+        keys = dice.integers(0, 2**64, n, np.uint64)
+        keys[: n // 3] = keys[:1] if n else keys
+        names = dice.integers(-(2**63), 2**63 - 1, 40)[dice.integers(0, 40, n)]
+        packer = jaccard_join._Blocks(None, None, set(), bits, ranges)
+        rows = [r for part in (slice(0, n // 2), slice(n // 2, n)) for r in packer._packed(keys[part], names[part]).to_pylist()]
+        rows.sort(key=lambda r: r["range"])
+        schema = jaccard_join.arrow_schema(jaccard_join.BLOCKS)
+        batch = jaccard_join.batch_of([tuple(r.values()) for r in rows], schema)
+        got = [x for b in jaccard_join._unpacked_blocks(iter([batch])) for x in zip(*(c.to_pylist() for c in b.columns))]
+        assert got == sorted(zip((keys >> np.uint64(64 - bits)).astype(np.int64).tolist(), names.tolist()))
 
 
 def test_pipeline_sources_meet_their_targets(spark, documents):
