@@ -410,7 +410,7 @@ class JaccardJoin:
         blocks = self.docs.select("text").mapInArrow(
             _Blocks(keys[order], levels, {r.short for r in short}, bits, ranges), BLOCKS
         )
-        dealt = blocks.repartitionById(parts, F.col("range")).sortWithinPartitions("range")
+        dealt = blocks.repartitionById(parts, (F.col("range") % parts).cast("int")).sortWithinPartitions("range")
         return stored(dealt.mapInArrow(_shared_of_packed, "key long, class long, first long"), "blocks")
 
     def sketched(self, pairs: DataFrame) -> DataFrame:
