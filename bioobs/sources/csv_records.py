@@ -2,9 +2,10 @@
 
 A split of a file cannot tell whether it begins inside quotes, but the number of quotes
 in all splits before it can. One pass counts them, a row for each split; a prefix over
-these rows gives the state in which each split begins. In the second pass every split
-puts its lines together from the right state. What a split cannot finish, at most one
-piece at either end, is joined with the pieces of its neighbours.
+these rows gives the state in which each split begins. In the second pass the lines of
+every split, a group of bounded size, are put together from the right state. What a split
+cannot finish, at most one piece at either end, is joined with the pieces of its
+neighbours.
 
 Quotes must enclose whole fields and be doubled inside them, so that a file has an even
 number of quotes; one with an odd number is refused.
@@ -12,19 +13,15 @@ number of quotes; one with an odd number is refused.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from bioobs.operators.joins import broadcast_if_small
 from bioobs.operators.ordering import BLOCK, FILE, POSITION
 
 # what a piece is: a whole record, one cut at its end, at its beginning, or at both
 WHOLE, BEGINNING, ENDING, MIDDLE = range(4)
-PIECES = pa.schema([(FILE, pa.string()), (BLOCK, pa.int64()), (POSITION, pa.int64()), ("piece", pa.int64()), ("record", pa.string())])
-PIECES_SQL = f"{FILE} string, {BLOCK} long, {POSITION} long, piece long, record string"
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -47,61 +44,34 @@ def split_states(spark: SparkSession, path: str) -> dict[tuple[str, int], bool]:
     return {(r[FILE], r[BLOCK]): r.inside for r in found}
 
 
-def _pieces(states, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    split, inside, held, began, at = None, False, [], False, 0
-    out: list[tuple] = []
-
-    def close(kind: int) -> None:
-        out.append((*split, at - len(held), kind, "\n".join(held)))
-        held.clear()
-
-    def written() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), PIECES)], schema=PIECES)
-        out.clear()
-        return batch
-
-    for batch in batches:
-        files, blocks = batch.column(0), batch.column(1).to_numpy()
-        cut = np.diff(blocks, prepend=blocks[:1]) != 0
-        cut[1:] |= pc.not_equal(files.slice(1), files.slice(0, max(len(files) - 1, 0))).to_numpy(zero_copy_only=False)
-        starts = np.unique(np.concatenate([[0], np.flatnonzero(cut)])) if len(blocks) else []
-        for lo, hi in zip(starts, [*starts[1:], len(blocks)]):
-            now = (files[int(lo)].as_py(), int(blocks[lo]))
-            if now != split:
-                if held:
-                    close(BEGINNING if began else MIDDLE)
-                if now not in states.value:
-                    raise ValueError("the file was split otherwise when its quotes were counted")
-                split, inside, began, at = now, states.value[now], False, 0
-            quotes = batch.column(2).to_numpy(zero_copy_only=False)[lo:hi]
-            values = batch.column(3).slice(lo, hi - lo).to_pylist()
-            if not inside and not held and not (quotes % 2).any():  # no record goes beyond its line
-                out += [(*split, at + i, WHOLE, v) for i, v in enumerate(values)]
-                at += len(values)
-                continue
-            for value, odd in zip(values, (quotes % 2).tolist()):
-                if not inside:
-                    began = True
-                held.append(value)
-                at += 1
-                inside ^= bool(odd)
-                if not inside:
-                    close(WHOLE if began else ENDING)
-        if out:
-            yield written()
-    if held:
-        close(BEGINNING if began else MIDDLE)
-        yield written()
+def _pieces(lines: DataFrame, states: DataFrame) -> DataFrame:
+    """``_file, _block, _position, piece, record``: the lines of each split as records and parts of records."""
+    order = W.partitionBy(FILE, BLOCK).orderBy("line")
+    known = F.when(F.col("inside").isNotNull(), F.col("inside").cast("long")).otherwise(
+        F.raise_error(F.lit("the file was split otherwise when its quotes were counted")).cast("long")
+    )
+    split = lines.withColumn("line", F.monotonically_increasing_id()).join(broadcast_if_small(states), [FILE, BLOCK], "left").withColumn("inside", known)
+    before = F.coalesce(F.sum("quotes").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + F.col("inside")
+    placed = split.withColumns({POSITION: (F.row_number().over(order) - 1).cast("long"), "before": before})
+    begins = F.when(F.col("before") % 2 == 0, F.col(POSITION))
+    of_record = placed.withColumn("of", F.last(begins, ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    text = F.sort_array(F.collect_list(F.struct(POSITION, "value"))).getField("value")
+    whole = of_record.groupBy(FILE, BLOCK, "of").agg(
+        F.array_join(text, "\n").alias("record"), F.min(POSITION).alias(POSITION), (F.sum("quotes") % 2 == 1).alias("odd"), F.first("inside").alias("inside")
+    )
+    began = F.col("of").isNotNull()
+    closed = F.when(began, ~F.col("odd")).otherwise(F.col("odd"))  # what does not begin here is inside quotes at first
+    piece = F.when(began & closed, WHOLE).when(began, BEGINNING).when(closed, ENDING).otherwise(MIDDLE)
+    return whole.select(FILE, BLOCK, POSITION, piece.alias("piece"), "record")
 
 
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """``record`` with its place: ``_file, _block, _position``. Blank records are left out.
 
-    The place is that of the first line. Lines stay in the tasks that read them; only the
-    pieces at the ends of splits move.
+    The place is that of the first line.
     """
-    states = spark.sparkContext.broadcast(split_states(spark, path))
-    pieces = _lines(spark, path).mapInArrow(lambda batches: _pieces(states, batches), PIECES_SQL)
+    states = [(*split, inside) for split, inside in split_states(spark, path).items()]
+    pieces = _pieces(_lines(spark, path), spark.createDataFrame(states, f"{FILE} string, {BLOCK} long, inside boolean"))
     whole = pieces.where(F.col("piece") == WHOLE).drop("piece")
     # of one split, the piece that ends a record stands before the one that begins the next
     order = W.partitionBy(FILE).orderBy(BLOCK, POSITION)
