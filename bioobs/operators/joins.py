@@ -62,12 +62,14 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "left") -> DataFr
     return join_named(left, right, [(c, c) for c in shared], how)
 
 
-def expect_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def expect_unique(df: DataFrame, keys: Sequence[str], missing: bool = True) -> DataFrame:
     """The same rows in place, or the query fails when it runs if a key repeats.
 
-    Only keys are counted; rows do not move. Missing keys equal each other.
+    Only keys are counted; rows do not move. Missing keys equal each other, or with
+    ``missing=False`` do not count.
     """
-    repeated = df.groupBy(*[named(k) for k in keys]).count().where("count > 1").agg(F.count("*")).scalar()
+    counted = df if missing else df.dropna(subset=list(keys))
+    repeated = counted.groupBy(*[named(k) for k in keys]).count().where("count > 1").agg(F.count("*")).scalar()
     message = F.lit(f"duplicate key in {list(keys)}")
     return df.where(F.when(repeated == 0, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 

@@ -1,7 +1,9 @@
 """Survey files to harmonised observations.
 
 Each job joins small tables (sites, species) to the survey rows. Whatever a site
-needs (area, centroid) is computed on the site table, before the rows multiply.
+needs (area, centroid) is computed on the site table, before the rows multiply. A
+site that is listed twice would multiply its observations, so it fails the job unless
+``unique_sites`` is off; a repeated species code does with ``unique_species``.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from bioobs import fixed_values as V
 from bioobs.functions import text, values
 from bioobs.functions.projection import reproject
 from bioobs.functions.rings import area_m2, centroid, circle_radius
-from bioobs.operators.joins import impute_max, natural_join, recycle
+from bioobs.operators.joins import expect_unique, impute_max, natural_join, recycle
 from bioobs.operators.matching import match_any
 from bioobs.operators.ordering import (
     BLOCK,
@@ -45,6 +47,10 @@ def _located(sites: DataFrame) -> DataFrame:
     ).drop("rings", "geometry_type", "srid", "centre")
 
 
+def _once(df: DataFrame, keys: list[str], wanted: bool) -> DataFrame:
+    return expect_unique(df, keys, missing=False) if wanted else df
+
+
 def _finished(df: DataFrame, dataset: Mapping) -> DataFrame:
     """Names, provenance and the fixed column order."""
     named_cols = df.withColumn("observed_rank", observed_rank("species")).withColumnsRenamed(
@@ -67,6 +73,8 @@ def wide_census_observations(
     skip=tuple(V.WIDE_CENSUS_SKIP),
     area_ha: float = V.CENSUS_AREA_HA,
     position_error: float = V.GPS_ERROR_M,
+    unique_sites: bool = True,
+    unique_species: bool = False,
 ) -> DataFrame:
     """A census with one column per site: densities per hectare at site centroids.
 
@@ -75,9 +83,10 @@ def wide_census_observations(
     counted = census.where(~F.col("species").isin(*skip))
     long = pivot_longer(counted, cols_between(census, *site_columns), "site", "density")
     rows = long.withColumn("observation_value", F.col("density") / area_ha).drop("density")
-    taxa = natural_join(rows.withColumnRenamed("species", "code"), species.drop("no"))
+    taxa = natural_join(rows.withColumnRenamed("species", "code"), _once(species.drop("no"), ["code"], unique_species))
     places = _located(sites).withColumn("site", F.lower(text.remove_first("name", site_prefix)))
-    joined = natural_join(places.drop("name"), taxa).where("observation_value != 0")
+    places = _once(places.drop("name"), ["site"], unique_sites)
+    joined = natural_join(places, taxa).where("observation_value != 0")
     month = values.case_when(*[(F.col("season") == s, m) for s, (m, _) in calendar.items()])
     day = values.case_when(*[(F.col("season") == s, d) for s, (_, d) in calendar.items()])
     dated = joined.withColumns(
@@ -142,15 +151,18 @@ def long_census_observations(
     left_out_point: str = V.LEFT_OUT_POINT,
     left_out_names: str = V.LEFT_OUT_NAMES,
     left_out_number: str = V.LEFT_OUT_NUMBER,
+    unique_sites: bool = True,
+    unique_species: bool = False,
 ) -> DataFrame:
     """Counts at point sites named by letter and number."""
-    taxa = natural_join(long_census(census, order, fixes, left_out_point).withColumnRenamed("species", "code"), species)
+    taxa = natural_join(long_census(census, order, fixes, left_out_point).withColumnRenamed("species", "code"), _once(species, ["code"], unique_species))
     places = (
         _located(sites.where(text.detect("name", left_out_names, negate=True)))
         .withColumns(split_site_code("name", letter_first=True))
         .where(F.col("site_number") != left_out_number)
         .drop("name")
     )
+    places = _once(places, ["site_letter", "site_number"], unique_sites)
     return _count_observations(natural_join(places, taxa), dataset, position_error)
 
 
@@ -161,10 +173,13 @@ def plot_census_observations(
     dataset: Mapping = V.DATASETS["birds_1967"],
     plots: Mapping = V.PLOT_NAMES,
     position_error: float = V.GPS_ERROR_M,
+    unique_sites: bool = True,
+    unique_species: bool = False,
 ) -> DataFrame:
     """Counts at plots whose names differ between census and site file."""
-    taxa = natural_join(census.withColumnRenamed("species", "code"), species)
+    taxa = natural_join(census.withColumnRenamed("species", "code"), _once(species, ["code"], unique_species))
     places = _located(sites).withColumn("plot", values.recode_values("name", plots)).drop("name")
+    places = _once(places, ["plot"], unique_sites)
     return _count_observations(natural_join(places, taxa), dataset, position_error)
 
 

@@ -383,7 +383,7 @@ SELECT {_sql_columns(
     longitude="round(lon, 9)", latitude="round(lat, 9)",
     coordinate_uncertainty="10", coordinate_uncertainty_unit="'meter'",
 )}
-FROM (SELECT n_nationkey, {CENTRE_LON_SQL} AS lon, {CENTRE_LAT_SQL} AS lat FROM nation WHERE n_nationkey < 6)
+FROM (SELECT n_nationkey, {CENTRE_LON_SQL} AS lon, {CENTRE_LAT_SQL} AS lat FROM nation WHERE n_nationkey < 24)
 JOIN (SELECT *, CASE event_type WHEN 'error' THEN 'err' WHEN 'signup' THEN NULL ELSE event_type END AS code FROM events)
   ON user_id % 25 = n_nationkey
 WHERE value <> 0
@@ -399,7 +399,7 @@ def q_harmonise_plots(spark, d):
         F.col("value").alias("abundance"),
         F.col("ts").cast("date").alias("date"),
     )
-    plots = {f"NATION_{i}": f"plot{i}" for i in range(6)}
+    plots = {f"NATION_{i}": f"plot{i}" for i in range(24)}
     done = plot_census_observations(
         census,
         _nation_points(spark, d, F.col("n_name")),

@@ -156,3 +156,17 @@ def test_stream_words_must_line_up(spark, taxonomy):
     page = words(spark, "Nes19", "600000E,", "600001E,", "5430000N")
     with pytest.raises(Exception, match="different length"):
         stream_survey_observations(survey, page, *taxonomy).collect()
+
+
+def test_a_site_listed_twice_fails_the_job(spark, tmp_path, taxonomy):
+    census = spark.createDataFrame([("p1", "AMRO", 2.0, dt.date(2000, 5, 6))], "plot string, species string, abundance double, date date")
+    species = spark.createDataFrame([("AMRO", "Turdus migratorius", "Robin"), ("AMRO", "Larus spp.", "Gull")], "code string, scientific_name string, common_name string")
+    ranked = species_with_ranks(species, *taxonomy)
+    sites = kml(spark, tmp_path / "s.kml", *[placemark(n, polygon_at(x, 49.2)) for n, x in (("A", -123.1), ("A", -123.2), ("other", -123.3), ("third", -123.4))])
+    with pytest.raises(Exception, match="duplicate key"):
+        plot_census_observations(census, sites, ranked, plots={"A": "p1"}).collect()
+    assert plot_census_observations(census, sites, ranked, plots={"A": "p1"}, unique_sites=False).count() == 4
+    once = sites.where("name != 'A'")  # a name without a plot is no repeated site
+    assert plot_census_observations(census, once, ranked, plots={"other": "p1"}).count() == 2
+    with pytest.raises(Exception, match="duplicate key"):
+        plot_census_observations(census, once, ranked, plots={"other": "p1"}, unique_species=True).collect()
