@@ -11,6 +11,8 @@ from bioobs.session import shared_folder
 
 # fixed value: what separates words, in every contract of this folder
 WORD = r"[^\x20\x09-\x0D]+"
+# Spark's setting: remove a query's shuffle files when it ends
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,10 +23,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write the table to the shared folder and read it back.
 
     This cuts the lineage, so that a lost executor costs no more than the tasks
-    it was running, and a table used twice is computed once.
+    it was running, and a table used twice is computed once. The shuffle files
+    behind it go as soon as it is written, not when the driver next collects its
+    garbage: nothing reads them any more.
     """
     path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
