@@ -13,6 +13,11 @@ Cells without any of these are outside and absent from the table; cells with the
 bit alone are inside. The answer equals testing every edge, because cell numbers
 come from a monotone function of the coordinate. Points join the cells by number:
 a left semi join, so a point never multiplies, needs no id and is not grouped.
+
+**Crowded cells.** Where more than ``CROWDED`` edges pass near a cell, it is halved
+both ways as often as their number asks for. The number of a small cell begins with
+that of the cell it is part of, so a point first looks up how often its cell was
+halved and then finds the small one: two lookups, whatever the outline.
 """
 
 from __future__ import annotations
@@ -24,16 +29,30 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from bioobs.functions.projection import PROJECTIONS
 from bioobs.functions.rings import crosses_right, on_segment, ring_edges
 from bioobs.operators.shape import named
+from bioobs.session import shared_folder
 
 # The cell table is copied to every executor up to this size, bounded beforehand.
 BROADCAST_BYTES = 256 * 1024 * 1024
 # Part of a cell by which a clipped edge is widened, far above any rounding.
 SLACK = 0.05
+# A cell with more edges than this is halved, FINEST times at most; a boundary of no
+# more than MANY_SIDES sides is not looked through for such cells.
+CROWDED = 64
+FINEST = 10
+MANY_SIDES = 4096
+
+
+def _power(halvings) -> Column:
+    return F.lit(2.0**halvings) if isinstance(halvings, int) else F.pow(F.lit(2.0), halvings)
 
 
 @dataclass(frozen=True)
 class Grid:
-    """Cells over a bounding box, and whether its cell table fits a broadcast."""
+    """Cells over a bounding box, and whether its cell table fits a broadcast.
+
+    ``outline`` is the number of polygon sides. ``halvings`` is how often the cells
+    meant are halved: a number or a column.
+    """
 
     x_min: float
     y_min: float
@@ -41,6 +60,7 @@ class Grid:
     y_max: float
     side: int
     small: bool = True
+    outline: int = 0
 
     @property
     def width(self) -> float:
@@ -50,21 +70,27 @@ class Grid:
     def height(self) -> float:
         return (self.y_max - self.y_min) / self.side or 1.0
 
-    def cell(self, x: Column) -> Column:
-        return F.floor((x - self.x_min) / self.width)
+    def _step(self, v: Column, low: float, size: float, halvings) -> Column:
+        # cut from the number of the finest cell, so that cells nest exactly
+        finest = F.floor((v - low) / (size / 2**FINEST))
+        return F.floor(finest / _power(FINEST - halvings))
+
+    def cell(self, x: Column, halvings=0) -> Column:
+        return self._step(x, self.x_min, self.width, halvings)
 
-    def row(self, y: Column) -> Column:
-        return F.floor((y - self.y_min) / self.height)
+    def row(self, y: Column, halvings=0) -> Column:
+        return self._step(y, self.y_min, self.height, halvings)
 
-    def number(self, row: Column, cell: Column) -> Column:
-        """One number per cell of the grid; NULL outside."""
-        here = row.between(0, self.side) & cell.between(0, self.side)
-        return F.when(here, row * (self.side + 1) + cell)
+    def number(self, row: Column, cell: Column, halvings=0) -> Column:
+        """One number per cell, of every size; NULL outside."""
+        across = (F.lit(self.side + 1) * _power(halvings)).cast("long")
+        inside = (row >= 0) & (row < across) & (cell >= 0) & (cell < across)
+        return F.when(inside, (row * across + cell) * (FINEST + 1) + halvings)
 
-    def number_at(self, x: Column, y: Column) -> Column:
+    def number_at(self, x: Column, y: Column, halvings=0) -> Column:
         """Number of the cell that holds a point; NaN lies nowhere."""
         known = lambda v: F.nanvl(v, F.lit(None).cast("double"))
-        return self.number(self.row(known(y)), self.cell(known(x)))
+        return self.number(self.row(known(y), halvings), self.cell(known(x), halvings), halvings)
 
     def covers(self, x: Column, y: Column) -> Column:
         return x.between(self.x_min, self.x_max) & y.between(self.y_min, self.y_max)
@@ -135,7 +161,7 @@ def fit_grid(sides: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Grid |
     finest = max(16, int(2 * total.n**0.5))
 
     def fitted(side: int) -> Grid:
-        grid = Grid(*corner, side)
+        grid = Grid(*corner, side, outline=total.n)
         w, h = grid.width, grid.height
         # upper bounds: a polygon's box in cells, and the cells that its sides pass near
         cells = total.area / (w * h) + 2 * (total.wide / w + total.tall / h) + 4 * total.polygons
@@ -147,67 +173,172 @@ def fit_grid(sides: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Grid |
     return next((g for g in options if g.small), options[0])
 
 
-def cell_tests(sides: DataFrame, grid: Grid) -> DataFrame:
-    """Rows ``pid, row, cell, kind, x1..y2``: what a point of a cell must check.
-
-    ``kind`` is ``edge`` (test it), ``start`` (flips the answer for points below
-    ``y1``) or ``above`` (flips it for the whole cell).
-    """
+def _clipped(per_row: DataFrame, grid: Grid, halvings=0) -> DataFrame:
+    """Adds ``c0, c1``: the first and the last cell of ``row`` that a side passes near."""
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     left, right = F.least("x1", "x2"), F.greatest("x1", "x2")
+    width, height = F.lit(grid.width) / _power(halvings), F.lit(grid.height) / _power(halvings)
 
     def x_at(y: Column) -> Column:
         inside = F.least(F.greatest(y, low), high)
         rise = F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
         return F.col("x1") + (inside - F.col("y1")) * (F.col("x2") - F.col("x1")) / rise
 
-    per_row = sides.withColumn("row", F.explode(F.sequence(grid.row(low), grid.row(high))))
-    bottom = F.lit(grid.y_min) + F.col("row") * grid.height
-    xa, xb = x_at(bottom), x_at(bottom + grid.height)
+    bottom = F.lit(grid.y_min) + F.col("row") * height
+    xa, xb = x_at(bottom), x_at(bottom + height)
     # a nearly level edge is not clipped: where it meets a row's border is ill-defined
-    level = high - low < 1e-3 * grid.height
-    reach = SLACK * grid.width
-    pieces = per_row.withColumns(
+    level = high - low < height * 1e-3
+    reach = width * SLACK
+    return per_row.withColumns(
         {
-            "c0": grid.cell(F.when(level, left).otherwise(F.greatest(left, F.least(xa, xb) - reach))),
-            "c1": grid.cell(F.when(level, right).otherwise(F.least(right, F.greatest(xa, xb) + reach))),
+            "c0": grid.cell(F.when(level, left).otherwise(F.greatest(left, F.least(xa, xb) - reach)), halvings),
+            "c1": grid.cell(F.when(level, right).otherwise(F.least(right, F.greatest(xa, xb) + reach)), halvings),
         }
     )
-    near = pieces.select(
-        "pid", "row", F.explode(F.sequence("c0", "c1")).alias("cell"),
-        F.lit("edge").alias("kind"), "x1", "y1", "x2", "y2",
-    )
 
-    # Ends of edges right of a cell flip its answer. An end matters where an odd
-    # number of edges right of the cell has it: from each odd one in order from the
-    # right, up to the next. Only these cells are ever listed.
+
+def _ends(pieces: DataFrame, grid: Grid, keys: list[str], halvings=0) -> DataFrame:
+    """``row, c0, y``: heights in a row at which points left of ``c0`` change sides; infinite above it."""
+
     def end(y: str) -> Column:
-        r = grid.row(F.col(y))
+        r = grid.row(F.col(y), halvings)
         return F.when(r > F.col("row"), F.lit(float("inf"))).when(r == F.col("row"), F.col(y))
 
-    ends = (
-        pieces.where((F.col("y1") != F.col("y2")) & (F.col("c0") > 0))
-        .select("pid", "row", "c0", F.explode(F.array(end("y1"), end("y2"))).alias("y"))
+    return (
+        pieces.where(F.col("y1") != F.col("y2"))
+        .select(*keys, "row", "c0", F.explode(F.array(end("y1"), end("y2"))).alias("y"))
         .where(F.col("y").isNotNull())
     )
-    once = ends.groupBy("pid", "row", "y", "c0").count().where("count % 2 = 1")
-    leftward = Window.partitionBy("pid", "row", "y").orderBy(F.col("c0").desc())
+
+
+def _far(ends: DataFrame, keys: list[str], first: Column) -> DataFrame:
+    """Tests for the ends of edges right of a cell, from the cell ``first`` on.
+
+    An end matters where an odd number of edges right of the cell has it: from each
+    odd one in order from the right, up to the next. Only these cells are ever listed.
+    """
+    once = ends.groupBy(*keys, "row", "y", "c0").count().where("count % 2 = 1")
+    leftward = Window.partitionBy(*keys, "row", "y").orderBy(F.col("c0").desc())
     runs = once.withColumns(
-        {"turn": F.row_number().over(leftward), "stop": F.lead("c0", 1, 0).over(leftward)}
+        {"turn": F.row_number().over(leftward), "stop": F.coalesce(F.lead("c0", 1).over(leftward), first)}
     ).where("turn % 2 = 1")
-    far = runs.select(
-        "pid", "row", F.explode(F.sequence("stop", F.col("c0") - 1)).alias("cell"),
+    return runs.select(
+        *keys, "row", F.explode(F.sequence("stop", F.col("c0") - 1)).alias("cell"),
         F.when(F.col("y") == float("inf"), "above").otherwise("start").alias("kind"),
         F.lit(None).cast("double").alias("x1"), F.col("y").alias("y1"),
         F.lit(None).cast("double").alias("x2"), F.lit(None).cast("double").alias("y2"),
     )
-    return near.unionByName(far)
+
+
+def cell_tests(sides: DataFrame, grid: Grid) -> DataFrame:
+    """Rows ``pid, row, cell, kind, x1..y2``: what a point of a cell must check.
+
+    ``kind`` is ``edge`` (test it), ``start`` (flips the answer for points below
+    ``y1``) or ``above`` (flips it for the whole cell).
+    """
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    pieces = _clipped(sides.withColumn("row", F.explode(F.sequence(grid.row(low), grid.row(high)))), grid)
+    near = pieces.select(
+        "pid", "row", F.explode(F.sequence("c0", "c1")).alias("cell"),
+        F.lit("edge").alias("kind"), "x1", "y1", "x2", "y2",
+    )
+    ends = _ends(pieces.where(F.col("c0") > 0), grid, ["pid"])
+    return near.unionByName(_far(ends, ["pid"], F.lit(0)))
+
+
+def crowded_cells(tests: DataFrame, grid: Grid, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame | None:
+    """``number, halvings`` of the cells to halve; None if there are none.
+
+    A stored table of at most one row per cell of the grid. The small cells, bounded
+    from above, take at most ``broadcast_bytes``: cells are halved fewer times, or not
+    at all, where they would take more.
+    """
+    spark = tests.sparkSession
+    edge = F.col("kind") == "edge"
+    passed = F.least(F.abs(F.col("x1") - F.col("x2")) / grid.width, F.lit(1.0)) + F.least(
+        F.abs(F.col("y1") - F.col("y2")) / grid.height, F.lit(1.0)
+    )
+    per_cell = tests.groupBy(grid.number(F.col("row"), F.col("cell")).alias("number"), "pid").agg(
+        F.count(F.when(edge, 1)).alias("edges"),
+        F.sum(F.when(edge, passed)).alias("passed"),
+        F.count(F.when(~edge, 1)).alias("ends"),
+    )
+    # twice as many cells across as the edges ask for, because they are not spread evenly
+    halvings = F.least(F.lit(FINEST), F.ceil(F.log2(F.max("edges") / CROWDED)).cast("int") + 1).alias("halvings")
+    found = (
+        per_cell.groupBy("number")
+        .agg(
+            halvings, F.max("edges").alias("most"), F.count("*").alias("polygons"),
+            F.sum("edges").alias("edges"), F.sum("passed").alias("passed"), F.sum("ends").alias("ends"),
+        )
+        .where(F.col("most") > CROWDED)
+    )
+    path = shared_folder(spark, "crowded-cells")
+    found.write.parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
+
+    def size(most: int) -> Column:
+        times = _power(F.least("halvings", F.lit(most)))
+        entries = times * 2 * F.col("passed") + 4 * F.col("edges") + times * F.col("ends")
+        return F.sum(entries * 48 + times * times * F.col("polygons") * 64 + 32)
+
+    # a very jagged outline passes many small cells: halved fewer times it still fits
+    sizes = found.agg(*[size(most) for most in range(1, FINEST + 1)]).first()
+    fitting = [most for most, s in enumerate(sizes, 1) if s is not None and s <= broadcast_bytes]
+    if not fitting:
+        return None
+    return found.select("number", F.least("halvings", F.lit(fitting[-1])).alias("halvings"))
+
+
+def halved_tests(tests: DataFrame, crowded: DataFrame, grid: Grid) -> DataFrame:
+    """``cell_tests`` with the crowded cells halved; ``halvings`` tells how often.
+
+    In a small cell the edges of the crowded one are clipped again, those right of it
+    flip it by their ends, and so do the ends that flipped the crowded cell.
+    """
+    number = grid.number(F.col("row"), F.col("cell"))
+    known = F.broadcast(crowded.withColumnRenamed("number", "__number"))
+    whole = tests.join(known, number == F.col("__number"), "left_anti").withColumn("halvings", F.lit(0))
+    h, times = F.col("halvings"), _power(F.col("halvings")).cast("long")
+    inner = tests.join(known, number == F.col("__number")).drop("__number")
+    inner = inner.withColumns(
+        {
+            "first": F.col("cell") * times, "end": (F.col("cell") + 1) * times,
+            "bottom": F.col("row") * times, "top": (F.col("row") + 1) * times - 1,
+        }
+    ).drop("row", "cell")
+    keys = ["pid", "halvings", "first"]
+
+    rows = F.sequence(
+        F.greatest("bottom", grid.row(F.least("y1", "y2"), h)), F.least("top", grid.row(F.greatest("y1", "y2"), h))
+    )
+    pieces = _clipped(inner.where("kind = 'edge'").withColumn("row", F.explode(rows)), grid, h)
+    pieces = pieces.where("c1 >= first").withColumns(
+        {"c0": F.least(F.greatest("c0", "first"), F.col("end")), "c1": F.least("c1", F.col("end") - 1)}
+    )
+    near = pieces.where("c0 <= c1").select(
+        "pid", "halvings", "row", F.explode(F.sequence("c0", "c1")).alias("cell"), "kind", "x1", "y1", "x2", "y2"
+    )
+    above = F.col("kind") == "above"
+    to = F.when(above, F.col("top")).otherwise(grid.row(F.col("y1"), h))
+    earlier = (
+        inner.where("kind <> 'edge'")
+        .withColumn("to", to)
+        .withColumn("row", F.explode(F.sequence("bottom", "to")))
+        .select(
+            *keys, "row", F.col("end").alias("c0"),
+            F.when(above | (F.col("row") < F.col("to")), F.lit(float("inf"))).otherwise(F.col("y1")).alias("y"),
+        )
+    )
+    ends = _ends(pieces.where("c0 > first"), grid, keys, h).unionByName(earlier)
+    return whole.unionByName(near).unionByName(_far(ends, keys, F.col("first")).drop("first"))
 
 
 def cell_table(tests: DataFrame, grid: Grid) -> DataFrame:
-    """``cell_tests`` with one row per cell and polygon."""
+    """``cell_tests`` or ``halved_tests`` with one row per cell and polygon."""
     edge = F.struct("x1", "y1", "x2", "y2")
-    number = grid.number(F.col("row"), F.col("cell"))
+    halvings = F.col("halvings") if "halvings" in tests.columns else 0
+    number = grid.number(F.col("row"), F.col("cell"), halvings)
     return tests.groupBy("pid", number.alias("number")).agg(
         F.collect_list(F.when(F.col("kind") == "edge", edge)).alias("near"),
         F.collect_list(F.when(F.col("kind") == "start", F.col("y1"))).alias("starts"),
@@ -240,9 +371,18 @@ def _join_cells(points, polygons, x, y, polygon_id, broadcast_bytes, grid, how):
         points = points.where(grid.covers(px, py))
     tests = cell_tests(sides, grid)
     if grid.small or points.isStreaming:
+        many = grid.small and grid.outline > MANY_SIDES
+        crowded = crowded_cells(tests, grid, broadcast_bytes) if many else None
+        halvings = 0
+        if crowded is not None:
+            tests = halved_tests(tests, crowded, grid)
+            marks = F.broadcast(crowded.toDF("__cell", "__halvings"))
+            points = points.join(marks, grid.number_at(px, py) == F.col("__cell"), "left")
+            halvings = F.coalesce("__halvings", F.lit(0))
         cells = _marked(cell_table(tests, grid))
-        here = grid.number_at(px, py) == F.col("__number")
-        return points.join(F.broadcast(cells) if grid.small else cells, here & _inside(px, py), how)
+        here = grid.number_at(px, py, halvings) == F.col("__number")
+        found = points.join(F.broadcast(cells) if grid.small else cells, here & _inside(px, py), how)
+        return found.drop("__cell", "__halvings")
     spots = _spots_inside(points.select(px.alias("__x"), py.alias("__y")), tests, grid)
     if how == "left_semi":
         spots = spots.select("__x", "__y").distinct()

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from bioobs.operators import spatial
 from bioobs.operators.spatial import (
     cell_table,
     cell_tests,
@@ -81,6 +82,29 @@ def test_points_in_polygons_equals_brute_force(scene, limit):
         assert {r.id for r in tagged if r.polygon_id == number} == ids
 
 
+@pytest.mark.parametrize("most", [1, 3])
+def test_crowded_cells_are_halved(scene, monkeypatch, most):
+    """However often cells are halved, the answer is that of every edge tested."""
+    polygons, points, inside = scene
+    monkeypatch.setattr(spatial, "MANY_SIDES", 0)
+    monkeypatch.setattr(spatial, "CROWDED", most)
+    sides = edges(polygons)
+    grid = fit_grid(sides)
+    crowded = spatial.crowded_cells(cell_tests(sides, grid), grid)
+    assert crowded.count() and crowded.agg(F.max("halvings")).first()[0] <= spatial.FINEST
+    assert spatial.crowded_cells(cell_tests(sides, grid), grid, broadcast_bytes=10) is None
+    tagged = tag_points(points, polygons)
+    assert tagged.columns == points.columns + ["polygon_id"]
+    tagged = tagged.collect()
+    assert len(tagged) == sum(map(len, inside.values()))
+    for number, ids in inside.items():
+        assert {r.id for r in tagged if r.polygon_id == number} == ids
+    kept = points_in_polygons(points, polygons)
+    assert kept.columns == points.columns
+    got = [r.id for r in kept.collect()]
+    assert len(got) == len(set(got)) and set(got) == set().union(*inside.values())
+
+
 @pytest.mark.parametrize("limit", [64 * 2**20, 0], ids=["broadcast", "shuffled"])
 def test_edges_holes_and_bad_points(spark, limit):
     polygons = spark.createDataFrame([polygon(1, square(0, 0, 10), square(4, 4, 2)), polygon(2, square(5, 5, 10))], BOUNDARY)
@@ -155,5 +179,8 @@ def test_long_outline(spark, tmp_path):
     points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(zip(xs, ys))], "id long, x double, y double")
     for size in (2**40, 2**25, 0):
         assert {r.id for r in points_in_polygons(points, outline, broadcast_bytes=size).collect()} == wanted
-    near = cell_table(cell_tests(sides, grid), grid).agg(F.max(F.size("near"))).first()[0]
-    assert 0 < near < 200
+    tests = cell_tests(sides, coarse)
+    most = F.max(F.size("near"))
+    assert cell_table(tests, coarse).agg(most).first()[0] > spatial.CROWDED
+    halved = spatial.halved_tests(tests, spatial.crowded_cells(tests, coarse, 2**40), coarse)
+    assert 0 < cell_table(halved, coarse).agg(most).first()[0] <= spatial.CROWDED
