@@ -28,6 +28,7 @@ from bioobs.operators.shape import (
 )
 from bioobs.operators.taxonomy import classify, ranks_wide, species_with_ranks
 from bioobs.schemas import BACKBONE_SCHEMA, CANDIDATE_SCHEMA
+from checkqueries.relations import q_left_composite
 
 
 def rows(df):
@@ -43,6 +44,21 @@ def test_null_keys_match_and_copies_multiply(spark):
         natural_join(left, right.select("v"))
 
 
+def test_exploded_sites_are_not_broadcast(spark, tmp_path):
+    """The planner takes their size before the explode, an eighth of it, for small."""
+    parts = [1, 2, 3, 95, 95, None]
+    lines = [(k, p, (p or 0) + i, k % 3, q) for k, (p, i, q) in enumerate([(1, 0, 2.0), (1, 8, 3.0), (2, 7, 5.0), (3, 1, 4.0), (95, 2, 1.0), (95, 6, 7.0), (None, 1, 1.0), (2, 0, None), (9, 0, 1.0)])]
+    lines.append((50, 95, 2, 1, 6.0))
+    spark.createDataFrame([(p,) for p in parts], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double"
+    spark.createDataFrame(lines, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = q_left_composite(spark, str(tmp_path))
+    sites = [(p, (p + i) % 100) for p in parts if p is not None for i in range(8)]
+    expected = [(p, s, o, n, q * (p % 3)) for p, s in sites for o, lp, ls, n, q in lines if (lp, ls) == (p, s) and q and p % 3]
+    assert len(expected) == 6 and rows(found) == sorted(expected, key=str)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_expect_unique(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     with pytest.raises(PySparkException, match="duplicate key"):
