@@ -143,6 +143,57 @@ def test_scores_count_whole_words_two_a_side(spark, monkeypatch):
     assert np.allclose([r[2] for r in got], [r[2] for r in expected], rtol=1e-5)
 
 
+def test_scores_learn_from_all_windows(spark):
+    """Of a corpus of which a sample was enough before."""
+    draw = random.Random(4)
+    words = [a + b + "ning" + a + b for a in "bdfglmnp" for b in "aeiou"]
+    rows = [(k, " ".join(words[(n * (k % 3 + 1) + int(draw.random() * 3)) % 40] for n in range(60))) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts, every = lm_scoring.corpus_counts(docs, "text", 1.0)
+    network = lm_scoring.train_vocabulary(lm_scoring.train(counts).forward()[2], every)
+    bundle = lm_scoring.Bundle.of([t for _, t in rows])
+    _, which, times = np.unique(bundle.keys(0), return_inverse=True, return_counts=True)
+    classes = counts[lm_scoring.WINDOWS :].reshape(64, -1).sum(1)
+    logs = bundle.log_probabilities(times[which].astype(float), classes, network).reshape(30, 60)
+    got = {r.doc_id: r.log_likelihood for r in lm_scoring.score_documents(docs).collect()}
+    assert np.allclose([got[k] for k in range(30)], logs.sum(1), rtol=1e-6)
+
+
+def test_network_is_the_average_over_shards(spark, monkeypatch):
+    """Every window is learned from in one shard; words weigh as often as a shard saw them."""
+    draw = random.Random(6)
+    rows = [(k if k % 5 else None, " ".join(f"w{int(draw.random() ** 2 * 60)}ed" for _ in range(k % 40)) or None) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(lm_scoring, "CHUNK", 150)
+    monkeypatch.setattr(lm_scoring, "SHARD", 600)
+    monkeypatch.setattr(lm_scoring, "TOGETHER", 7)
+    counts, sample = lm_scoring.corpus_counts(docs, "text", 1.0)
+    neighbours = Counter(w for x, n in zip(sample.around.tolist(), sample.times.tolist()) for w in x * n)
+    assert sample.words.tolist() == sorted(w for w, n in neighbours.items() if n >= 4) and len(sample.words) > 30
+    base, tokens = lm_scoring.train(counts).forward()[2], int(sample.times.sum())
+    got = lm_scoring.shared_vocabulary(docs, "text", base, sample.words, tokens)
+
+    place = docs.repartition(-(-tokens // 600), "doc_id", "text").sortWithinPartitions(F.xxhash64("doc_id", "text"))
+    texts = {}
+    for r in place.withColumn("shard", F.spark_partition_id()).collect():
+        texts.setdefault(r.shard, []).append(r.text)
+    learners = []
+    for own in texts.values():
+        learners.append(lm_scoring.Learner(lm_scoring.Vocabulary.fresh(sample.words, base)))
+        for at in range(0, len(own), 64):
+            found = lm_scoring.Bundle.of(own[at : at + 64])
+            learners[-1].learn(found.cell, np.ones(len(found.cell)), found.around(learners[-1].network.places(found.items)), 1)
+    seen = sum(x.seen for x in learners)
+    assert len(learners) > 2 and (seen.sum(axis=1) == tokens).all()
+    for k in range(4):
+        for w in range(len(sample.words) + 1):
+            own = [x.network.embedded[k, w] * (x.seen[k, w] / seen[k, w]) for x in learners if x.seen[k, w]]
+            assert np.allclose(got.embedded[k, w], sum(own) if own else learners[0].network.embedded[k, w], atol=1e-6)
+    weight = [x.seen[0].sum() / tokens for x in learners]
+    assert np.allclose(got.outer, sum(x.network.outer * n for x, n in zip(learners, weight)), atol=1e-6)
+    assert np.allclose(got.bias, sum(x.network.bias * n for x, n in zip(learners, weight)), atol=1e-6)
+
+
 def test_misplaced_words_of_one_ending_cost(spark):
     words = [f"{a}{b}ing" for a in "bdfgklmn" for b in "aeiou"]
     rows = [(k, " ".join(words)) for k in range(20)] + [(20, " ".join(random.Random(1).sample(words, len(words))))]
