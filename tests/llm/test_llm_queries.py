@@ -16,7 +16,7 @@ from bioobs.llm import byte_bpe, fingerprints, html_extract, jaccard_join, lm_sc
 from bioobs.llm import source_mix, token_counts, url_filter
 from bioobs.llm.automaton import compile_rules, parse
 from bioobs.llm.components import components
-from bioobs.llm.words import word_hashes
+from bioobs.llm.words import span_hashes, tail_hashes, word_hashes
 from compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -194,6 +194,42 @@ def test_network_is_the_average_over_shards(spark, monkeypatch):
     assert np.allclose(got.bias, sum(x.network.bias * n for x, n in zip(learners, weight)), atol=1e-6)
 
 
+def test_sorted_once_gives_order_groups_and_sums():
+    draw = np.random.RandomState(3)
+    tight = (np.uint64(2**63) + draw.randint(0, 2**30, 3000).astype(np.uint64)) | np.uint64(1)
+    for values in (draw.randint(0, 50, 999), tight, np.repeat(tight, 3), tight[:1], np.empty(0, np.uint64)):
+        order, ordered = lm_scoring.in_order(values)
+        assert (order == np.argsort(values, kind="stable")).all() and (ordered == values[order]).all()
+        first, distinct, _, which = lm_scoring.grouped(values)
+        expected, begins, inverse = np.unique(values, return_index=True, return_inverse=True)
+        assert (distinct == expected).all() and (which == inverse).all() and (order[first] == begins).all()
+        totals = np.arange(len(expected)).astype(np.uint64) * np.uint64(7)
+        assert (lm_scoring.spread(values, totals) == totals[inverse]).all()
+        slopes = draw.standard_normal((max(1, len(values)), 24)).astype(np.float32)
+        sums = np.zeros((len(expected), 24))
+        np.add.at(sums, inverse, slopes[: len(values)])
+        assert np.allclose(lm_scoring.group_sums(slopes, order, first), sums, atol=1e-5)
+
+
+def test_numbers_travel_in_the_bytes_they_need():
+    for values in ([], [0], [0, 255], [256, 3], [2**46 + 5, 1], [2**64 - 1, 0]):
+        data = lm_scoring.packed(np.array(values, np.uint64))
+        assert lm_scoring.unpacked(data).tolist() == values
+        assert data[8] == max([-(-v.bit_length() // 8) for v in values], default=0)
+
+
+def test_ends_of_words_hash_as_their_spans():
+    raw = np.frombuffer("abc déjà vu 中文字符 z".encode(), np.uint8)
+    ends = np.arange(3, len(raw) + 1)
+    assert (tail_hashes(raw, ends, 3) == span_hashes(raw, ends - 3, ends)).all()
+
+
+def test_log_sums_of_what_no_number_holds():
+    with np.errstate(divide="ignore"):
+        got = lm_scoring.log_sum(np.array([0.0, 0.25, 0.0, 0.5]), np.array([-2000.0, -2000.0, -3.0, np.log(0.25)]))
+    assert np.allclose(got, [-2000, np.log(0.25), -3, np.log(0.75)], rtol=1e-14)
+
+
 def test_misplaced_words_of_one_ending_cost(spark):
     words = [f"{a}{b}ing" for a in "bdfgklmn" for b in "aeiou"]
     rows = [(k, " ".join(words)) for k in range(20)] + [(20, " ".join(random.Random(1).sample(words, len(words))))]
