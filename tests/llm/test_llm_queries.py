@@ -200,7 +200,7 @@ def test_sorted_once_gives_order_groups_and_sums():
     for values in (draw.randint(0, 50, 999), tight, np.repeat(tight, 3), tight[:1], np.empty(0, np.uint64)):
         order, ordered = lm_scoring.in_order(values)
         assert (order == np.argsort(values, kind="stable")).all() and (ordered == values[order]).all()
-        first, distinct, _, which = lm_scoring.grouped(values)
+        first, distinct, which = lm_scoring.grouped(order, ordered)
         expected, begins, inverse = np.unique(values, return_index=True, return_inverse=True)
         assert (distinct == expected).all() and (which == inverse).all() and (order[first] == begins).all()
         totals = np.arange(len(expected)).astype(np.uint64) * np.uint64(7)
